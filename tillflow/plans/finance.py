@@ -15,6 +15,7 @@ from ..operators.money import minor_to_usd, with_rate
 from ..operators.ranges import asof_range_join, effective_ranges
 from ..operators.sequence import activity_within, cumulative_by
 from ..sources.regions import region_union
+from ..sources.writers import materialise
 from .payments import condition_of, intent_price_id, price_products, purchase_type_of, succeeded
 
 Tables = Mapping[str, DataFrame]
@@ -319,7 +320,8 @@ def _margin_sums() -> list[Column]:
 def _margin_base(hub: DataFrame) -> DataFrame:
     """Hub rows summed to month x segment x customer, with the customer's first month.
 
-    The first month is taken after the sums; it depends on the customer only.
+    The first month is taken after the sums; it depends on the customer only. The sums are staged, because the
+    first months, the pool shares and the result all read them.
     """
     rows = hub.withColumns({
         "country": F.col("region"), "date": month_start("purchase_date"), "new_existing": F.coalesce("new_existing", F.lit("New")),
@@ -327,7 +329,7 @@ def _margin_base(hub: DataFrame) -> DataFrame:
     keys = ["country", "date", "purchase_type", "new_existing", "sales_channel", "condition", "customer_id"]
     base = rows.groupBy(*keys).agg(*_margin_sums(), F.sum(F.coalesce(F.col("cogs") * F.col("quantity"), F.lit(0.0))).alias("cogs"),
                                    F.countDistinct("charge_id").alias("n_orders"))
-    return with_group_value(base, ["customer_id"], acq_month=F.min("date"))
+    return with_group_value(materialise(base), ["customer_id"], acq_month=F.min("date"))
 
 
 def _prorated(base: DataFrame, spend: DataFrame, t: Tables) -> DataFrame:
@@ -376,7 +378,7 @@ def cm3(hub: DataFrame, spend: DataFrame, t: Tables) -> DataFrame:
             "customer_id", "charge_id", "recurring_interval", "recurring_interval_count", "gst_vat"]
     sums = (rows.groupBy(*keys).agg(*_margin_sums(), F.sum("cogs").alias("cogs"))
                 .withColumnsRenamed({"amount": "revenue", "gateway_fees": "payment_gateway_fees", "gst_vat": "gst_vat_rate"}))
-    base = with_group_value(sums, ["customer_id"], acq_month=F.min("purchase_month"))
+    base = with_group_value(materialise(sums), ["customer_id"], acq_month=F.min("purchase_month"))
     by_cohort = base.groupBy("acq_month", "purchase_month", "country").agg(F.sum("revenue").alias("cohort_total"))
     by_month = by_cohort.groupBy("purchase_month", "country").agg(F.sum("cohort_total").alias("month_total"))
     marketing = (spend.groupBy(month_start("date").alias("purchase_month"), F.lower("country_code").alias("country"))

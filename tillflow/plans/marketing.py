@@ -241,10 +241,12 @@ def cost_per_completion(t: Tables) -> DataFrame:
     ga = with_rate(t["google_stats"].join(google_accounts(t), "customer_id", "left"), "currency_code", t["fx"]).join(names, "id")
     ga = ga.groupBy("utm_campaign", "date").agg(
         F.sum(F.col("cost_micros") / 1e6 / F.col("fx_to_usd")).alias("ga_usd"), F.sum("clicks").alias("ga_clicks"),
-        F.count(F.lit(1)).alias("ga_rows"))
-    # an unmatched version of the campaign name still keeps one row
-    joined = done.join(visits, ["utm_source", "date"], "left").join(fb, ["utm_campaign", "date"], "left").join(ga, ["utm_campaign", "date"], "left")
-    times = F.greatest(F.coalesce("ga_rows", F.lit(1)), F.lit(1))
+        F.count(F.lit(1)).alias("ga_rows"), F.countDistinct("id").alias("ga_ids"))
+    ids = names.groupBy("utm_campaign").agg(F.count(F.lit(1)).alias("n_ids"))
+    joined = (done.join(visits, ["utm_source", "date"], "left").join(fb, ["utm_campaign", "date"], "left")
+              .join(ga, ["utm_campaign", "date"], "left").join(ids, "utm_campaign", "left").fillna(0, ["ga_rows", "ga_ids", "n_ids"]))
+    # rows of the second platform: its day rows, and one for every campaign id without a row that day
+    times = F.greatest(F.col("ga_rows") + F.col("n_ids") - F.col("ga_ids"), F.lit(1))
     on_fb = F.col("fb_rows").isNotNull()
     return joined.select("utm_campaign", "utm_source", "date", "completions", "page_visits",
                          F.when(on_fb, F.col("fb_usd") * times).otherwise(F.col("ga_usd")).alias("spend_usd"),
@@ -311,7 +313,7 @@ def roas_monthly(hub: DataFrame, spend: DataFrame) -> DataFrame:
                     F.coalesce("n_new_customers", F.lit(0)).alias("n_new_customers"), "first_purchase_revenue"))
 
 
-def monthly_cac(hub: DataFrame, monthly: DataFrame, spend: DataFrame, as_of, months: int = 12) -> DataFrame:
+def monthly_cac(monthly: DataFrame, spend: DataFrame, as_of, months: int = 12) -> DataFrame:
     """Month x country: rounded spend and distinct new customers over the trailing full months."""
     ads = (spend.filter("country_code is not null").groupBy(month_start("date").alias("date"), F.lower("country_code").alias("country"))
            .agg(F.round(F.sum("cost_usd"), 0).alias("marketing_spend")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
@@ -32,17 +33,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new folder below the session's checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{label}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame) -> str:
+    """Write a frame as parquet below the checkpoint folder and return the path."""
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return path
+
+
 def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a frame that several jobs share, in the session's checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute a frame once that a job reads several times.
+
+    The staged parquet survives lost executors, is pruned by column like any table, and its file sizes tell the
+    optimizer what can be broadcast.
+    """
+    return df.sparkSession.read.parquet(stage(df))
 
 
 def number_rows(df: DataFrame, order_by: Sequence[str | Column], out: str = "row_index") -> DataFrame:
     """Global 0-based row numbers in ``order_by`` order.
 
     The rows are range-sorted across all tasks and numbered inside their task; a table with one row per task turns
-    that into a global number. The sorted rows are checkpointed in between, so a lost executor cannot renumber them.
+    that into a global number. The numbered rows are staged in between, so a lost executor cannot renumber them.
     """
     rows = materialise(df.orderBy(*order_by).withColumn("_id", F.monotonically_increasing_id()))
     rows = rows.withColumn("_task", F.shiftright("_id", 33))
