@@ -18,7 +18,7 @@ def _(s):
     return s.base("lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"))
 
 
-@query("AGG2_sum_expression", "select l_suppkey, sum(l_extendedprice * (1 - l_discount)) as revenue from lineitem group by 1", r2="revenue")
+@query("AGG2_sum_expression", "select l_suppkey, sum(l_extendedprice * (1 - l_discount)) as revenue from lineitem group by 1", r4="revenue")
 def _(s):
     return s.base("lineitem").groupBy("l_suppkey").agg(F.sum(c("l_extendedprice") * (1 - c("l_discount"))).alias("revenue"))
 

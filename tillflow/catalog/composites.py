@@ -108,7 +108,7 @@ def _(s):
 
 @query("CMP9_monthly_recurring", """select i.subscription_id, p.id as plan_id, case p.plan_interval when 'month' then v / n when 'year' then v / (12 * n) when 'week' then v * 52 / 12 / n
  when 'day' then v * 365 / 12 / n else 0 end as mrr from (select *, coalesce(interval_count, 1) as n from t_plan) p join (select m.*, 1 as one from t_subscription_item m) i on i.plan_id = p.id
- cross join lateral (select p.amount * i.quantity / 100 as v) x""", r4="mrr")
+ cross join lateral (select p.amount * i.quantity / 100 as v) x""", r6="mrr")
 def _(s):
     plan = s["plan"].select(c("id").alias("plan_id"), "amount", "plan_interval", "interval_count")
     return s["subscription_item"].join(plan, "plan_id").select("subscription_id", "plan_id", monthly_recurring(
@@ -180,7 +180,7 @@ def _(s):
  lag(a.current_mrr) over (order by a.month) as base_mrr, g.net from (select 'all' as seg, month, sum(if(lifecycle = 'New', n, 0))::bigint as n_new_customers, sum(current_mrr) as current_mrr,
  sum(n)::bigint as current_n_customers from life where current_mrr > 0 group by 2) a left join (select month, sum(n)::bigint as n_churned_customers, sum(lagged_mrr) as churned_mrr from life
  where lifecycle = 'Churn' group by 1) x on x.month = a.month left join (select date_trunc('month', l_shipdate)::date as month, sum(l_extendedprice * (1 - l_discount)) as net from lineitem group by 1) g
- on g.month = a.month""", dates="month", r2="current_mrr churned_mrr base_mrr net")
+ on g.month = a.month""", dates="month", r2="current_mrr churned_mrr base_mrr", r4="net")
 def _(s):
     life = lifecycle_summary(tagged(s).withColumn("seg", F.lit("all")), ["seg", "month", "lifecycle"], "o_custkey", "value", "n")
     margin = s.base("lineitem").groupBy(F.lit("all").alias("seg"), month_start("l_shipdate").alias("month")).agg(
@@ -205,12 +205,12 @@ def _(s):
  amount - refunds - cogs - packaging - delivery_cost - gateway_fees as cm2, amount - refunds - cogs - packaging - delivery_cost - gateway_fees - marketing_cost as cm3,
  amount - refunds - cogs - packaging - delivery_cost - gateway_fees - marketing_cost - operating_expense - staff_cost as ebitda from (select l_partkey, sum(l_extendedprice) as amount,
  sum(if(l_returnflag = 'R', l_extendedprice, 0)) as refunds, sum(l_extendedprice * l_tax) as tax_paid_usd, sum(l_quantity * 300) as cogs, sum(l_quantity) as packaging,
- sum(l_quantity * 0.5) as delivery_cost, sum(l_extendedprice * 0.03125) as gateway_fees, sum(l_extendedprice * l_discount) as marketing_cost, sum(l_quantity * 2) as operating_expense,
- sum(l_quantity * 3) as staff_cost from lineitem group by 1) x""", r2="gross_revenue net_revenue gross_profit cm2 cm3 ebitda")
+ sum(l_quantity * 0.5) as delivery_cost, sum(l_extendedprice * 0.03) as gateway_fees, sum(l_extendedprice * l_discount) as marketing_cost, sum(l_quantity * 2) as operating_expense,
+ sum(l_quantity * 3) as staff_cost from lineitem group by 1) x""", r4="gross_revenue net_revenue gross_profit cm2 cm3 ebitda")
 def _(s):
     price, qty = c("l_extendedprice"), c("l_quantity")
     sums = {"amount": price, "refunds": F.when(c("l_returnflag") == "R", price).otherwise(0.0), "tax_paid_usd": price * c("l_tax"), "cogs": qty * 300,
-            "packaging": F.when(qty > 0, qty), "delivery_cost": qty * 0.5, "gateway_fees": price * 0.03125, "marketing_cost": price * c("l_discount"),
+            "packaging": F.when(qty > 0, qty), "delivery_cost": qty * 0.5, "gateway_fees": price * 0.03, "marketing_cost": price * c("l_discount"),
             "operating_expense": qty * 2, "staff_cost": qty * 3}
     parts = s.base("lineitem").groupBy("l_partkey").agg(*[F.sum(v).alias(k) for k, v in sums.items()])
     return margin_waterfall(parts).select("l_partkey", "gross_revenue", "net_revenue", "gross_profit", "cm2", "cm3", "ebitda")

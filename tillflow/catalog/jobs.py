@@ -9,7 +9,7 @@ from ..functions import FUNNEL_SOURCES, PAGE_MEDIUMS, PAGE_SOURCES
 from ..plans import finance, lifecycle, marketing, payments, web
 from ..sources.regions import region_union
 from ..sources.writers import number_batches
-from .hubs import AS_OF, EVENT, START, STATE, intent_price, ladder, scalar
+from .hubs import AS_OF, START, STATE, exact, intent_price, ladder, scalar
 from .hubs import lifecycle as lifecycle_sql
 from .registry import query
 from .rows import by_region
@@ -66,7 +66,7 @@ def _(s):
     return web.cod_order_breakdown(s, "hk", "1997-02-01")
 
 
-@query("JB2_subscription_metrics", "select * from h_metrics", dates="obs_date created_at ended_at", r4="mrr_local mrr_usd")
+@query("JB2_subscription_metrics", "select * from h_metrics", dates="obs_date created_at ended_at", r6="mrr_local mrr_usd")
 def _(s):
     return metrics(s)
 
@@ -123,9 +123,9 @@ def _(s):
     return web.checkout_completions(s)
 
 
-@query("JB7_churn_rate", """select region, obs_date, n_churned, n_customers, lag(n_customers) over (partition by region order by obs_date) as lagged_n_customers from (
+@query("JB7_churn_rate", f"""select region, obs_date, n_churned, n_customers, lag(n_customers) over (partition by region order by obs_date) as lagged_n_customers from (
  select region, obs_date, count(distinct customer_id) filter (where mrr = 0) as n_churned, count(distinct customer_id) as n_customers from
- (select region, customer_id, obs_date, sum(mrr_usd) as mrr from h_metrics group by all) d group by 1, 2) x""", dates="obs_date")
+ (select region, customer_id, obs_date, {exact('mrr_usd')} as mrr from h_metrics group by all) d group by 1, 2) x""", dates="obs_date")
 def _(s):
     return lifecycle.churn_rate(metrics(s))
 
@@ -159,15 +159,16 @@ def _(s):
  from (select customer_id, date_trunc('month', purchase_date)::date as date, sum(sale) as rev from h_lines where sales_channel = 'Stripe' group by 1, 2) m""",
        dates="date acq_date", r2="rev cum_rev")
 def _(s):
-    return finance.cumulative_revenue(lines(s))
+    # not from the staged hub: the channel filter prunes the other six channels from the plan
+    return finance.cumulative_revenue(finance.contribution_margin(s))
 
 
-@query("JB12_customer_segments", """select region, obs_date, segment, count(distinct customer_id) as n_customers, count(*) filter (where mrr > 0) as n_paying, sum(mrr) as mrr_usd,
+@query("JB12_customer_segments", f"""select region, obs_date, segment, count(distinct customer_id) as n_customers, count(*) filter (where mrr > 0) as n_paying, sum(mrr) as mrr_usd,
  sum(prev) as lagged_mrr, lag(count(distinct customer_id)) over (partition by region, segment order by obs_date) as lagged_n_customers from (
  select *, case when obs_date = first_day then 'New' when mrr = 0 and (prev > 0 or prev is null) then 'Churned' when mrr > 0 and prev = 0 then 'Reactivated'
   when mrr = prev then 'MRR Flat' when mrr > prev then 'MRR Expansion' when mrr < prev then 'MRR Contraction' end as segment from (
  select *, lag(mrr) over (partition by customer_id order by obs_date, region) as prev, min(obs_date) over (partition by customer_id) as first_day from
- (select region, customer_id, obs_date, sum(mrr_usd) as mrr from h_metrics group by all) a) b) d group by 1, 2, 3""", dates="obs_date", r2="mrr_usd lagged_mrr")
+ (select region, customer_id, obs_date, {exact('mrr_usd')} as mrr from h_metrics group by all) a) b) d group by 1, 2, 3""", dates="obs_date", r2="mrr_usd lagged_mrr")
 def _(s):
     return lifecycle.customer_segments(metrics(s))
 
@@ -233,7 +234,7 @@ def _(s):
 
 @query("JB19_monthly_ltv_inputs", f"""select g.region, g.customer_id, g.obs_date, coalesce(o.mrr, 0) as mrr_usd from (select region, customer_id,
  unnest(generate_series(min(obs_date)::timestamp, date_trunc('month', date '{AS_OF}')::timestamp, interval 1 month))::date as obs_date from h_customer_month group by 1, 2) g
- left join h_customer_month o on o.region = g.region and o.customer_id = g.customer_id and o.obs_date = g.obs_date""", dates="obs_date", r4="mrr_usd")
+ left join h_customer_month o on o.region = g.region and o.customer_id = g.customer_id and o.obs_date = g.obs_date""", dates="obs_date", r6="mrr_usd")
 def _(s):
     return lifecycle.monthly_ltv_inputs(metrics(s), AS_OF)
 
@@ -713,9 +714,9 @@ def _(s):
     return marketing.new_campaigns(s, spend(s))
 
 
-STATUS = """select *, mrr - coalesce(prev, 0) as delta, case when month = created then 'new' when mrr = 0 and prev > 0 then 'churned'
+STATUS = f"""select *, mrr - coalesce(prev, 0) as delta, case when month = created then 'new' when mrr = 0 and prev > 0 then 'churned'
  when mrr > 0 and month > created and prev = 0 then 'reactivated' when mrr > prev then 'mrr expansion' when mrr < prev then 'mrr contraction' when mrr > 0 then 'mrr flat' end as status from (
- select *, lag(mrr) over (partition by customer_id order by month, region, currency nulls first) as prev from (select region, customer_id, currency, snap as month, sum(mrr_usd) as mrr,
+ select *, lag(mrr) over (partition by customer_id order by month, region, currency nulls first) as prev from (select region, customer_id, currency, snap as month, {exact('mrr_usd')} as mrr,
  min(date_trunc('month', created_at)::date) as created from h_snapshot group by all) g) l"""
 
 

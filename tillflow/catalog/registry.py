@@ -17,6 +17,8 @@ from ..testbed.tables import ShopTables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+# the same queries without the comparison's rounding and date text, for timing
+PLAIN: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # SQL of the hubs, shared by the twins of the jobs built on them
 HUBS: dict[str, str] = {}
 
@@ -28,7 +30,7 @@ def _shown(df: DataFrame, digits: dict[str, int]) -> DataFrame:
     for field in df.schema.fields:
         kind, c = field.dataType.typeName(), F.col(f"`{field.name}`")
         if kind == "date":
-            c = F.date_format(c, "yyyy-MM-dd")
+            c = c.cast("string")
         elif kind.startswith("timestamp"):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         elif kind in ("double", "float") or kind.startswith("decimal"):
@@ -46,11 +48,14 @@ def query(name: str, sql: str | None = None, dates: str = "", stamps: str = "",
     digits = {c: n for n, cols in ((0, r0), (2, r2), (4, r4), (6, r6)) for c in cols.split()}
 
     def register(fn: Callable[[ShopTables], DataFrame]):
+        def plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(ShopTables(tune(spark), sf_dir))
+
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return _shown(fn(ShopTables(tune(spark), sf_dir)), digits)
+            return _shown(plain(spark, sf_dir), digits)
         run.__name__ = name
         assert name not in QUERIES, name
-        QUERIES[name] = run
+        QUERIES[name], PLAIN[name] = run, plain
         if sql is not None:
             shown = [f"strftime({c}, '{DATE}') as {c}" for c in dates.split()]
             shown += [f"strftime({c}, '{STAMP}') as {c}" for c in stamps.split()]

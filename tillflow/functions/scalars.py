@@ -49,5 +49,15 @@ def regex_group(col: Column | str, pattern: str, group: int = 1) -> Column:
     return F.when(found != "", found)
 
 
+def exact_sum(c: Column | str, digits: int = 6) -> Column:
+    """Sum of a double, each value rounded to ``digits`` decimals and added as an integer.
+
+    The result does not depend on the order of additions, so later tests for equality or zero are stable. Meant for
+    sums per entity: the total must stay below 9.2e18 / 10^digits.
+    """
+    scale = float(10 ** digits)
+    return F.sum(F.rint(_col(c) * scale).cast("long")) / scale
+
+
 def typed_null(data_type: str) -> Column:
     return F.lit(None).cast(data_type)

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import month_start, next_month_start
+from ..functions import exact_sum, month_start, next_month_start
 
 
 def monthly_recurring(amount: str, quantity: str, interval: str, count: str, subunits: Column | str | int = 100
@@ -51,4 +51,4 @@ def month_snapshot(df: DataFrame, dims: Sequence[str], date_col: str = "obs_date
     on_first = day == month_start(day)
     month = F.when((amount > 0) | on_first, day).otherwise(next_month_start(day))
     return (df.filter(on_first | (amount == 0)).groupBy(*dims, month.alias(date_col))
-              .agg(F.sum(value).alias(value)))
+              .agg(exact_sum(value).alias(value)))

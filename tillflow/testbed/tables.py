@@ -135,28 +135,30 @@ SQL["t_price_cogs"] = """select 'price_' || p_partkey as price_id, p_size * 2.5e
 
 # --- channel sheets ---------------------------------------------------------------------------------------------
 SQL["t_tiktok_orders"] = """select l_orderkey as order_id, cast(l_shipdate as date) as created_time,
- 'buyer_' || l_suppkey as buyer_username, l_partkey as sku_id, cast(l_quantity as bigint) as quantity, 'SGD' as currency,
+ 'buyer_' || l_suppkey as buyer_username, l_partkey as sku_id, cast(l_quantity as bigint) as quantity, case when l_linenumber = 7 then 'USD' else 'SGD' end as currency,
  l_extendedprice as revenue, floor(round(l_extendedprice * 100) * round((1 - l_discount) * 100) / 100) / 100e0 as sku_subtotal_after_discount,
  case when l_linenumber = 1 then floor(round(l_extendedprice * 100) * 500 / 1000) / 100e0 end as order_refund_amount,
  -floor(round(l_extendedprice * 100) * 30 / 1000) / 100e0 as payment_gateway_fee from lineitem where l_returnflag = 'A'"""
 SQL["t_lazada_orders"] = """select cast(l_shipdate as date) as transaction_date,
  case l_linenumber when 1 then 'Orders-Lazada Fees' when 2 then 'Orders-Logistics' when 3 then 'Refunds-Claims'
    when 4 then 'Orders-Marketing Fees' else 'Orders-Sales' end as transaction_type,
- 'sku-' || (l_partkey % 40) as seller_sku, 'SGD' as currency,
+ 'sku-' || (l_partkey % 40) as seller_sku, case when l_linenumber = 7 then 'USD' else 'SGD' end as currency,
  case when l_linenumber <= 4 then -floor(round(l_extendedprice * 100) * 100 / 1000) / 100e0 else l_extendedprice end as amount
  from lineitem where l_returnflag = 'N'"""
 SQL["t_shopee_orders"] = """select 'sh_' || o_orderkey as order_id, o_orderdate as payout_completed_date,
  'shop_' || o_custkey as username_buyer_, o_custkey as product_id, 'Shop item ' || o_custkey as product_name,
- 'SGD' as currency, floor(round(o_totalprice * 100) * 100 / 1000) / 100e0 as product_price,
+ case when o_custkey % 11 = 0 then 'USD' else 'SGD' end as currency, floor(round(o_totalprice * 100) * 100 / 1000) / 100e0 as product_price,
  case o_orderstatus when 'F' then floor(round(o_totalprice * 100) * 50 / 1000) / 100e0 else 0e0 end as refund_amount,
  -1.5e0 as commission_fee, -0.5e0 as service_fee, -0.25e0 as transaction_fee, 0e0 as ams_fee
  from orders where o_orderpriority = '5-LOW'"""
 SQL["t_shopee_quantities"] = """select 'sh_' || o_orderkey as order_id, 'sku-' || o_custkey as sku_reference_no_,
  cast(o_orderkey % 3 + 1 as bigint) as quantity from orders where o_orderpriority = '5-LOW' and o_orderstatus <> 'O'"""
-SQL["t_cod_sg_old"] = """select o_day as purchase_date, 'user' || o_custkey || '@example.com' as email, 'SGD' as currency,
+SQL["t_cod_sg_old"] = """select o_day as purchase_date, 'user' || o_custkey || '@example.com' as email,
+ case when o_custkey % 11 = 0 then 'USD' else 'SGD' end as currency,
  cast(o_orderkey % 3 + 1 as bigint) as quantity, 'prod_' || o_custkey as product_id, cents / 1000e0 as purchase_amount
  from s_sale where o_orderpriority = '4-NOT SPECIFIED' and o_day < cast('1998-01-01' as date)"""
-SQL["t_cod_sg_new"] = """select o_day as date, 'user' || o_custkey || '@example.com' as email, 'SGD' as currency,
+SQL["t_cod_sg_new"] = """select o_day as date, 'user' || o_custkey || '@example.com' as email,
+ case when o_custkey % 11 = 0 then 'USD' else 'SGD' end as currency,
  cast(o_orderkey % 3 + 1 as bigint) as quantity, 'prod_' || o_custkey as product_id, cents / 1000e0 as revenue
  from s_sale where o_orderpriority = '4-NOT SPECIFIED' and o_day >= cast('1998-01-01' as date)"""
 SQL["t_cod_hk_old"] = """select o_day as purchase_date, 'user' || o_custkey || '@example.com' as email, 'HKD' as currency,
@@ -167,9 +169,10 @@ SQL["t_airway_bills"] = """select o_day as delivery_date, 'user' || o_custkey ||
 SQL["t_airway_lines"] = """select 'awb_' || l_orderkey as awb_no, 'sku-' || l_partkey as sku, cast(l_quantity as bigint) as quantity,
  l_extendedprice as revenue from lineitem"""
 SQL["t_atome_manual"] = """select 'at_' || o_orderkey as atome_order_id, o_orderkey as short_id, o_day as transaction_time,
- floor(cents / 5) / 100e0 as transaction_amount, 'SGD' as currency, -2e0 as sponsored_voucher_amount, -1.5e0 as mdr_fee,
+ floor(cents / 5) / 100e0 as transaction_amount, case when o_custkey % 11 = 0 then 'USD' else 'SGD' end as currency, -2e0 as sponsored_voucher_amount, -1.5e0 as mdr_fee,
  -0.2e0 as flat_fee from s_sale where o_orderpriority = '2-HIGH'
- union all select 'at_' || o_orderkey, o_orderkey, DAYS(o_day, 5), -floor(cents / 20) / 100e0, 'SGD', 0e0, 0e0, 0e0
+ union all select 'at_' || o_orderkey, o_orderkey, DAYS(o_day, 5), -floor(cents / 20) / 100e0,
+ case when o_custkey % 11 = 0 then 'USD' else 'SGD' end, 0e0, 0e0, 0e0
  from s_sale where o_orderpriority in ('2-HIGH', '5-LOW') and o_orderstatus = 'F'"""
 SQL["t_delivery_cost"] = """select cast(date_trunc('month', o_day) as date) as date, upper(region) as country, upper(currency) as currency,
  count(*) * 3.5e0 as cost from s_sale group by 1, 2, 3"""
