@@ -234,3 +234,25 @@ def test_churn_rates(spark):
     actives = spark.createDataFrame([(D("2024-02-01"), 10, 100.0), (D("2024-03-01"), 9, 90.0)], "m date, n bigint, mrr_usd double")
     assert rows(churn_rates(summary, actives, "m"), "m", "churn_rate", "dollar_churn_rate") == sorted(
         [(D("2024-02-01"), None, None), (D("2024-03-01"), 0.1, 0.05)], key=lambda r: r[0])
+
+
+def test_month_observations_equal_the_daily_snapshot(spark):
+    from tillflow.operators.subscriptions import month_observations
+    spans = [(i, D(a), D(b), v) for i, (a, b, v) in enumerate([
+        ("2024-01-10", "2024-03-20", 5.0), ("2024-02-01", "2024-02-29", 5.0), ("2024-02-28", "2024-02-28", 5.0), ("2023-11-03", "2024-01-31", 2.0),
+        ("2024-01-15", "2024-02-10", 0.0), ("2024-04-20", "2030-01-01", 0.0), ("2024-04-20", "2030-01-01", 3.0), ("2024-03-31", "2024-04-25", 1.0),
+        ("2024-05-01", "2024-05-02", 1.0), ("2023-01-01", "2023-12-31", 4.0), ("2023-01-01", "2023-12-30", 4.0), ("2024-01-02", "2024-04-24", None)])]
+    df = spark.createDataFrame(spans, "k int, a date, b date, mrr_usd double")
+    daily = expand_intervals(df, "a", "b", "obs_date", "2024-01-01", "2024-04-25", tail_days=1)
+    daily = daily.withColumn("mrr_usd", F.when(F.col("b") >= F.col("obs_date"), F.col("mrr_usd")).otherwise(F.lit(0.0)))
+    monthly = month_observations(df, "a", "b", "mrr_usd", "2024-01-01", "2024-04-25")
+    assert rows(month_snapshot(monthly, ["k"]), "k", "obs_date", "mrr_usd") == rows(month_snapshot(daily, ["k"]), "k", "obs_date", "mrr_usd")
+
+
+def test_flatten_json_shapes(spark):
+    from tillflow.operators.json_fields import flatten_json
+    cases = ['{"a": 1, "p": {"q": "x"}}', '[{"a": 2, "p": {"q": "y"}}, {"a": 9}]', "[]", "{broken", '{"a": {"z": 1}, "p": 3}', '{"a": "12.5"}', None]
+    df = spark.createDataFrame([(i, j) for i, j in enumerate(cases)], "i int, j string")
+    fields = {"a": "bigint", "q": ("p.q", "string")}
+    assert rows(flatten_json(df, "j", fields), "i", "a", "q") == [(0, 1, "x"), (1, 2, "y"), (2, None, None), (3, None, None), (4, None, None), (5, None, None), (6, None, None)]
+    assert rows(flatten_json(df, "j", fields, or_first_element=False), "i", "a", "q")[1] == (1, None, None)

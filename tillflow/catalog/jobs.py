@@ -28,6 +28,10 @@ def metrics(s):
     return s.hub("subscription_metrics", lambda: payments.subscription_metrics(s, AS_OF, START))
 
 
+def months(s):
+    return s.hub("subscription_months", lambda: payments.subscription_months(s, AS_OF, START))
+
+
 def lines(s):
     return s.hub("contribution_margin", lambda: finance.contribution_margin(s))
 
@@ -68,7 +72,7 @@ def _(s):
 
 @query("JB2_subscription_metrics", "select * from h_metrics", dates="obs_date created_at ended_at", r6="mrr_local mrr_usd")
 def _(s):
-    return metrics(s)
+    return payments.subscription_metrics(s, AS_OF, START)
 
 
 @query("JB3_cac", """select k.m as date, upper(k.country) as country, k.v as marketing_spend, l.revenue, l.cogs, l.gst as gst_vat_usd, l.refund as refund_usd, x.mrr,
@@ -80,7 +84,7 @@ def _(s):
  left join (select obs_date as m, region, sum(mrr_usd) as mrr from h_metrics where day(obs_date) = 1 and mrr_usd > 0 group by 1, 2) x on x.m = k.m and x.region = k.country""",
        dates="date", r2="marketing_spend revenue cogs gst_vat_usd refund_usd mrr")
 def _(s):
-    return marketing.cac(s, lines(s), spend(s), metrics(s))
+    return marketing.cac(s, lines(s), spend(s), months(s))
 
 
 @query("JB4_cac_margin", """select r.date, r.country, x.mrr, x.total_subscribers, r.* exclude (date, country) from (
@@ -93,7 +97,7 @@ def _(s):
   group by 1, 2) x on x.obs_date = r.date and x.region = r.country""", dates="date",
        r2="mrr marketing_cost revenue cogs cashback packaging tax_paid_usd refunds payment_gateway_fees delivery_cost")
 def _(s):
-    return marketing.cac_margin(s, monthly(s), metrics(s))
+    return marketing.cac_margin(s, monthly(s), months(s))
 
 
 def charge_lines(intent_join: str = "join", line_join: str = "left join") -> str:
@@ -236,7 +240,7 @@ def _(s):
  unnest(generate_series(min(obs_date)::timestamp, date_trunc('month', date '{AS_OF}')::timestamp, interval 1 month))::date as obs_date from h_customer_month group by 1, 2) g
  left join h_customer_month o on o.region = g.region and o.customer_id = g.customer_id and o.obs_date = g.obs_date""", dates="obs_date", r6="mrr_usd")
 def _(s):
-    return lifecycle.monthly_ltv_inputs(metrics(s), AS_OF)
+    return lifecycle.monthly_ltv_inputs(months(s), AS_OF)
 
 
 @query("JB20_monthly_revenue_by_customer", """select date_trunc('month', l.purchase_date)::date as purchase_month, l.sales_channel, l.region, l.new_existing, l.customer_id, l.charge_id,
@@ -467,7 +471,7 @@ CM3_R2 = ("revenue cogs packaging cashback tax_paid_usd payment_gateway_fees ref
 
 @query("JB46_cm3", "select * from h_cm3", dates="purchase_month acq_month", r2=CM3_R2, r4="gst_vat_rate")
 def _(s):
-    return charge_margin(s)
+    return finance.cm3(lines(s), spend(s), s)
 
 
 @query("JB47_cod_hk_orders", "select * from h_cod_hk", dates="date", r4="purchase_amount")
@@ -502,18 +506,18 @@ def _(s):
 
 @query("JB52_contribution_margin", "select * exclude (sale) from h_lines", dates="purchase_date acquisition_date subscription_created_date", r2=LINES_R2, r6=LINES_R6)
 def _(s):
-    return lines(s)
+    return finance.contribution_margin(s)
 
 
 @query("JB53_customer_lifecycle", f"""select region, obs_date, lifecycle, count(distinct customer_id) as n_customers, sum(mrr) as current_mrr, sum(prev) as lagged_mrr
  from ({lifecycle_sql('h_customer_month', 'customer_id', STATE)}) t group by 1, 2, 3""", dates="obs_date", r2="current_mrr lagged_mrr")
 def _(s):
-    return lifecycle.customer_lifecycle(metrics(s))
+    return lifecycle.customer_lifecycle(months(s))
 
 
 @query("JB54_customer_lifecycle_monthly", "select * from h_life", dates="obs_date", r2="current_mrr lagged_mrr")
 def _(s):
-    return lifecycle.customer_lifecycle_monthly(metrics(s))
+    return lifecycle.customer_lifecycle_monthly(months(s))
 
 
 @query("JB55_daily_roas", """select date, country, condition, brand, max(spend) as marketing_spend, max(imp) as impressions, max(clk) as clicks, max(rev) as revenue,
@@ -538,28 +542,28 @@ def ltv_sql(life: str, dims: str, n: str, suffix: str) -> str:
 
 @query("JB56_ltv_cac", ltv_sql("h_life", "region", "n_customers", "customers"), dates="obs_date", r2="current_mrr churned_mrr base_mrr net_revenue cogs marketing_cost")
 def _(s):
-    return lifecycle.ltv_cac_by_region(metrics(s), monthly(s))
+    return lifecycle.ltv_cac_by_region(months(s), monthly(s))
 
 
 @query("JB57_ltv_cac_by_condition", ltv_sql("h_sub_life", "region, condition", "n_subscriptions", "subscriptions"), dates="obs_date",
        r2="current_mrr churned_mrr base_mrr net_revenue cogs marketing_cost")
 def _(s):
-    return lifecycle.ltv_cac_by_condition(metrics(s), monthly(s))
+    return lifecycle.ltv_cac_by_condition(months(s), monthly(s))
 
 
 @query("JB58_marketing_cost_per_action", "select * from h_actions", dates="date", r4="ad_impressions cost_usd clicks")
 def _(s):
-    return actions(s)
+    return marketing.marketing_cost_per_action(s, spend(s), appointments(s), since="1998-06-01")
 
 
 @query("JB59_marketing_spend", "select * from h_spend", dates="date", r4="reach clicks impressions cost_local cost_usd")
 def _(s):
-    return spend(s)
+    return marketing.marketing_spend(s)
 
 
 @query("JB60_monthly_contribution_margin", "select * from h_monthly", dates="date acq_month", r2=PNL_R2 + " ebitda")
 def _(s):
-    return monthly(s)
+    return finance.monthly_contribution_margin(lines(s), spend(s), s)
 
 
 @query("JB61_product_cost_per_box", "select region, id as product_id, cost_box, packaging_cost, a as from_date, b as to_date from h_box", dates="from_date to_date", r4="cost_box packaging_cost")
@@ -575,7 +579,7 @@ def _(s):
 
 @query("JB63_subscription_lifecycle_monthly", "select * from h_sub_life", dates="obs_date", r2="current_mrr lagged_mrr")
 def _(s):
-    return lifecycle.subscription_lifecycle_monthly(metrics(s))
+    return lifecycle.subscription_lifecycle_monthly(months(s))
 
 
 @query("JB64_subscription_renewals", """select a.region, a.d as created_date, a.subscription_id, a.condition, count(distinct l.charge_id) as n_charges_in_first_90d,
@@ -723,7 +727,7 @@ STATUS = f"""select *, mrr - coalesce(prev, 0) as delta, case when month = creat
 @query("JB77_churn_status", f"""select month, status, count(distinct customer_id) as n, sum(mrr) as mrr_usd, sum(delta) as mrr_delta from ({STATUS}) t group by 1, 2""",
        dates="month", r2="mrr_usd mrr_delta")
 def _(s):
-    return lifecycle.customer_churn_analysis(metrics(s))[0]
+    return lifecycle.customer_churn_analysis(months(s))[0]
 
 
 @query("JB77_churn_rates", f"""with tagged as ({STATUS}) select a.month, n_churned, mrr_delta, mrr_usd, n, n_churned / lag(n) over (order by a.month) as churn_rate,
@@ -731,7 +735,7 @@ def _(s):
  where status = 'churned' group by 1) a join (select month, sum(mrr) as mrr_usd, count(*) as n from tagged where mrr > 0 group by 1) b on b.month = a.month""",
        dates="month", r2="mrr_delta mrr_usd", r6="churn_rate dollar_churn_rate")
 def _(s):
-    return lifecycle.customer_churn_analysis(metrics(s))[1]
+    return lifecycle.customer_churn_analysis(months(s))[1]
 
 
 @query("JB78_recent_creatives", "select distinct creative_id::varchar as creative_id from t_fb_ad where created_time >= date '2001-06-30' - interval 3 month")

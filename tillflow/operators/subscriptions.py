@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import exact_sum, month_start, next_month_start
+from ..functions import date_steps, exact_sum, month_start, next_month_start
 
 
 def monthly_recurring(amount: str, quantity: str, interval: str, count: str, subunits: Column | str | int = 100
@@ -44,6 +44,24 @@ def effective_end(subscriptions: DataFrame, invoices: DataFrame, charges: DataFr
     return joined.withColumn("ended_at", end).drop("last_paid")
 
 
+def month_observations(df: DataFrame, start: str, end: str, value: str, floor, as_of, out: str = "obs_date") -> DataFrame:
+    """The rows a month snapshot needs, straight from the intervals: about one per month instead of one per day.
+
+    Every first of month inside [start, end + 1 day] keeps its value (zero after the end). A zero day inside a month
+    counts for the next month start: the day after the end, and for worthless intervals every day up to ``as_of``.
+    """
+    floor_date, last_date = F.lit(floor).cast("date"), F.lit(as_of).cast("date")
+    first, tail = F.greatest(F.col(start), floor_date), F.date_add(F.col(end), 1)
+    last = F.least(tail, last_date)
+    on_or_after = F.when(first == month_start(first), first).otherwise(next_month_start(first))
+    firsts = F.coalesce(date_steps(on_or_after, last, "month"), F.array().cast("array<date>"))
+    closing = F.when((tail <= last_date) & (tail > month_start(tail)), next_month_start(tail))
+    worthless = F.when((tail > last_date) & (F.col(value) == 0) & (last_date > month_start(last_date)), next_month_start(last_date))
+    months = F.when(first <= last, F.array_distinct(F.array_compact(F.concat(firsts, F.array(closing, worthless)))))
+    return (df.withColumn(out, F.explode(months))
+              .withColumn(value, F.when(F.col(end) >= F.col(out), F.col(value)).otherwise(F.lit(0.0))))
+
+
 def month_snapshot(df: DataFrame, dims: Sequence[str], date_col: str = "obs_date", value: str = "mrr_usd"
                    ) -> DataFrame:
     """Daily values to month starts: first-of-month rows stay, zero rows inside a month move to the next month."""

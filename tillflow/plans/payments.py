@@ -15,7 +15,7 @@ from ..operators.dedup import latest_per_key
 from ..operators.json_fields import map_of_entries
 from ..operators.money import minor_to_usd, with_rate
 from ..operators.sequence import (attribute_history, conversion_share, detect_increase, sequence_events, share_of_groups)
-from ..operators.subscriptions import effective_end, monthly_recurring
+from ..operators.subscriptions import effective_end, month_observations, monthly_recurring
 from ..sources.regions import all_regions
 
 Tables = Mapping[str, DataFrame]
@@ -104,6 +104,16 @@ def subscription_metrics(t: Tables, as_of, start=CALENDAR_START) -> DataFrame:
         F.when(live, F.col("mrr_usd")).otherwise(F.lit(0.0)).alias("mrr_usd"))
 
 
+def subscription_months(t: Tables, as_of, start=CALENDAR_START) -> DataFrame:
+    """The month starts of :func:`subscription_metrics` with its zero days already moved to the next month.
+
+    Enough for every monthly job (snapshots, lifecycle, churn, LTV) at a thirtieth of the rows.
+    """
+    months = month_observations(subscription_intervals(t), "created_at", "ended_at", "mrr_usd", start, as_of)
+    return months.select("region", "subscription_id", "customer_id", "obs_date", "created_at", "currency", "product_id",
+                         "product_name", "condition", "mrr_usd")
+
+
 def customer_metrics(t: Tables, as_of, start=CALENDAR_START) -> DataFrame:
     """Customer x product x day MRR; unpaid subscriptions count, no churn day."""
     spans = subscription_intervals(t, paid_only=False, paid_quantity_only=False)

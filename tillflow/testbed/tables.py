@@ -155,11 +155,11 @@ SQL["t_shopee_quantities"] = """select 'sh_' || o_orderkey as order_id, 'sku-' |
  cast(o_orderkey % 3 + 1 as bigint) as quantity from orders where o_orderpriority = '5-LOW' and o_orderstatus <> 'O'"""
 SQL["t_cod_sg_old"] = """select o_day as purchase_date, 'user' || o_custkey || '@example.com' as email,
  case when o_custkey % 11 = 0 then 'USD' else 'SGD' end as currency,
- cast(o_orderkey % 3 + 1 as bigint) as quantity, 'prod_' || o_custkey as product_id, cents / 1000e0 as purchase_amount
+ cast(o_orderkey % 3 + 1 as bigint) as quantity, 'prod_' || o_custkey as product_id, floor(cents / 10) / 100e0 as purchase_amount
  from s_sale where o_orderpriority = '4-NOT SPECIFIED' and o_day < cast('1998-01-01' as date)"""
 SQL["t_cod_sg_new"] = """select o_day as date, 'user' || o_custkey || '@example.com' as email,
  case when o_custkey % 11 = 0 then 'USD' else 'SGD' end as currency,
- cast(o_orderkey % 3 + 1 as bigint) as quantity, 'prod_' || o_custkey as product_id, cents / 1000e0 as revenue
+ cast(o_orderkey % 3 + 1 as bigint) as quantity, 'prod_' || o_custkey as product_id, floor(cents / 10) / 100e0 as revenue
  from s_sale where o_orderpriority = '4-NOT SPECIFIED' and o_day >= cast('1998-01-01' as date)"""
 SQL["t_cod_hk_old"] = """select o_day as purchase_date, 'user' || o_custkey || '@example.com' as email, 'HKD' as currency,
  cast(o_orderkey % 3 + 1 as bigint) as quantity, 'prod_' || o_custkey as product_id, cents / 100e0 as purchase_amount
