@@ -108,7 +108,8 @@ def normalize_sales(channels: Sequence[DataFrame]) -> DataFrame:
 def stripe_sales(t: Tables, cost: DataFrame) -> DataFrame:
     """Card charges by invoice line.
 
-    The one-to-one joins come first; the acquisition date is taken at charge grain, before the lines fan out.
+    The one-to-one joins come first; the acquisition date is taken at charge grain, before the lines fan out. The joined
+    charges are staged, because the first dates and the lines both read them.
     """
     intent = t["payment_intent"].select(F.col("id").alias("payment_intent_id"), intent_price_id().alias("intent_price"))
     bt = t["balance_transaction"].select(F.col("id").alias("balance_transaction_id"), "type", "fee",
@@ -119,7 +120,7 @@ def stripe_sales(t: Tables, cost: DataFrame) -> DataFrame:
                             "balance_transaction_id", "invoice_id", F.to_date("created").alias("purchase_date"), "amount",
                             "amount_refunded", "currency")
         .join(intent, "payment_intent_id").join(bt, "balance_transaction_id"), "currency", t["fx"], "inner", t["subunits"])
-    charges = with_group_value(charges, ["customer_id"], acquisition_date=F.min("purchase_date"))
+    charges = with_group_value(materialise(charges), ["customer_id"], acquisition_date=F.min("purchase_date"))
 
     customer = t["customer"].select(F.col("id").alias("customer_id"), "email")
     # one brand per customer, so lines do not repeat
@@ -251,17 +252,16 @@ def atome_sales(t: Tables, tax: DataFrame, cost: DataFrame) -> DataFrame:
             .agg(F.min("transaction_time").alias("_first"), F.sum(positive_part("transaction_amount")).alias("sale"),
                  F.sum(negative_part("transaction_amount")).alias("refund"),
                  F.sum(F.col("sponsored_voucher_amount") + F.col("mdr_fee") + F.col("flat_fee")).alias("fees")))
-    sums = with_group_value(sums, ["atome_order_id"], order_date=F.min("_first")).filter(F.col("sale") > 0)
+    sums = with_group_value(materialise(sums), ["atome_order_id"], order_date=F.min("_first")).filter(F.col("sale") > 0)
     order = t["app_order"].filter(F.col("region") == "sg").select(
         "short_id", "sys_id", "patient_id", "stripe_subscription_id", "stripe_payment_intent_id",
         F.coalesce("prescription_price_id", "price_id").alias("wanted"))
     patient = t["patient"].select(F.col("sys_id").alias("patient_id"), "email", F.col("from_platform_env").alias("brand"))
     sold = price_products(t).select(F.col("price_id").alias("px"), "product_id", "product_name", "condition")
     price_cost = cost.select("price_id", "from_date", "to_date", "cogs", "packaging", "cashback")
-    rows = (sums.join(order, "short_id", "left").join(patient, "patient_id", "left")
-                .join(sold, F.col("wanted") == F.col("px"), "left"))
+    rows = with_group_value(sums.join(order, "short_id", "left"), ["patient_id"], acquisition_date=F.min("order_date"))
+    rows = rows.join(patient, "patient_id", "left").join(sold, F.col("wanted") == F.col("px"), "left")
     rows = asof_range_join(rows, price_cost, {"price_id": "wanted"}, "order_date")
-    rows = with_group_value(rows, ["patient_id"], acquisition_date=F.min("order_date"))
     return _conform(
         rows, sales_channel=F.lit("Atome"), region=F.lit("sg"),
         purchase_type=purchase_type_of("stripe_subscription_id"), billing_reason=F.lit("manual"), brand="brand",
