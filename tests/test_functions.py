@@ -1,8 +1,5 @@
 """Scalar rules that differ from the built-ins."""
 
-import datetime as dt
-
-from conftest import rows
 from pyspark.sql import functions as F
 
 from tillflow.functions import (CHANNEL_PREFIXES, PAGE_SOURCES, date_steps, exact_sum, greatest_strict, json_either, json_scalar,

@@ -9,7 +9,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tillflow.operators.calendar import expand_intervals, zero_fill
 from tillflow.operators.dedup import latest_per_key
-from tillflow.operators.joins import null_safe_join, with_group_value
+from tillflow.operators.joins import with_group_value
 from tillflow.operators.lifecycle import churn_rates, tag_acquisition, tag_lifecycle
 from tillflow.operators.margin import margin_waterfall, period_change, split_signed, tax_included
 from tillflow.operators.metrics import merge_metrics, reconcile, unmapped, with_baseline

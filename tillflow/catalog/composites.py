@@ -3,28 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions import CHANNEL_PREFIXES, map_channel, month_start
 from ..operators.calendar import expand_intervals, zero_fill
 from ..operators.dedup import latest_per_key
 from ..operators.joins import with_group_value
 from ..operators.json_fields import flatten_json
-from ..operators.lifecycle import (EVENT_LABELS, churn_rates, lifecycle_summary, ltv_cac, tag_acquisition, tag_lifecycle, tag_status)
+from ..operators.lifecycle import (churn_rates, lifecycle_summary, ltv_cac, tag_acquisition, tag_lifecycle, tag_status)
 from ..operators.margin import kpi_ratios, margin_waterfall, period_change, pivot_txn, split_signed, tax_included
 from ..operators.metrics import annual_totals, merge_metrics, reconcile, unmapped, with_baseline
 from ..operators.money import to_local, to_usd
-from ..operators.proration import add_share, prorate
+from ..operators.proration import prorate
 from ..operators.ranges import asof_range_join, effective_ranges
 from ..operators.scoring import score_rows
 from ..operators.sequence import (activity_within, attribute_history, conversion_share, cross_share, cumulative_by, daily_counts,
                                   detect_increase, first_touch_funnel, sequence_events)
 from ..operators.subscriptions import effective_end, monthly_recurring, month_snapshot
-from ..plans import finance, marketing, payments, web
+from ..plans import finance, payments
 from ..sources.regions import region_union
 from ..sources.writers import number_batches
-from .hubs import EVENT, ladder, scalar
-from .hubs import lifecycle as lifecycle_sql
+from .hubs import ladder, scalar
 from .registry import query
 from .rows import by_region
 

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from ..functions import date_steps, json_scalar, month_start, regex_group
 from ..operators.calendar import expand_intervals
-from ..operators.joins import anti_join, null_safe_join, with_group_value
-from ..operators.metrics import annual_totals, merge_metrics, reconcile
-from ..operators.ranges import asof_range_join, effective_ranges
+from ..operators.joins import anti_join, with_group_value
+from ..operators.metrics import merge_metrics, reconcile
+from ..operators.ranges import asof_range_join
 from ..operators.sequence import activity_within
-from ..plans import finance, payments
+from ..plans import finance
 from .registry import query
 
 c = F.col

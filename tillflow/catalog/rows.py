@@ -6,11 +6,11 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from ..functions import json_scalar, map_channel, month_start, typed_null
-from ..operators.calendar import expand_intervals
+from ..functions import map_channel, month_start, typed_null
+from ..operators.dedup import latest_per_key
 from ..sources.readers import Tables, read_csv, read_sheet_range, read_snapshot, run_query_file
 from ..sources.regions import all_regions, region_union
-from ..sources.writers import number_batches, publish_view, write_batches, write_snapshot
+from ..sources.writers import publish_view, write_batches, write_snapshot
 from ..plans import payments
 from .registry import query, scratch
 
@@ -254,7 +254,6 @@ def _(s):
 @query("FLT13_post_window", """select o_custkey, o_orderkey from orders
  qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) = 1""")
 def _(s):
-    from ..operators.dedup import latest_per_key
     return latest_per_key(s.base("orders"), ["o_custkey"], ["o_orderdate"], tie_break=["o_orderkey"]).select("o_custkey", "o_orderkey")
 
 

@@ -9,7 +9,7 @@ from ..operators.dedup import latest_per_key
 from ..operators.joins import with_group_value
 from ..operators.proration import add_share
 from ..operators.ranges import effective_ranges
-from ..operators.sequence import attribute_history, cumulative_by, sequence_events, share_of_groups, with_neighbours
+from ..operators.sequence import cumulative_by, sequence_events, share_of_groups, with_neighbours
 from .registry import query
 
 c = F.col

@@ -58,7 +58,7 @@ def pivot_txn(df: DataFrame, keys: Sequence[str], amount: Column, rules: Mapping
         F.sum(F.when(test, amount * sign).otherwise(F.lit(0.0))).alias(name) for name, (test, sign) in rules.items()])
 
 
-def kpi_ratios(df: DataFrame, month: str = "date", dims: Sequence[str] = ()) -> DataFrame:
+def kpi_ratios(df: DataFrame) -> DataFrame:
     """CAC, AOV, gross and EBITDA margin where their inputs exist."""
     ratios = {"cac": ("marketing_spend", "n_new_customers"), "aov": ("gross_revenue", "n_orders"),
               "gross_margin": ("gross_profit", "net_revenue"), "ebitda_margin": ("ebitda", "net_revenue")}

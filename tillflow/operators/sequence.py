@@ -11,7 +11,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from ..functions import safe_divide
 from .dedup import latest_per_key
 from .joins import null_safe_join, with_group_value
 
@@ -142,11 +141,3 @@ def cross_share(base: DataFrame, other: DataFrame, entity: str, by: Sequence[str
 def daily_counts(df: DataFrame, day, dims: Sequence[str], entity: str, count_as: str) -> DataFrame:
     """Distinct entities per day and dimension."""
     return df.groupBy(day.alias("date"), *dims).agg(F.countDistinct(entity).alias(count_as))
-
-
-def latest_versions(df: DataFrame, key: str, version: str) -> DataFrame:
-    return latest_per_key(df, [key], [version])
-
-
-def refund_rate(refund: str, amount: str):
-    return F.coalesce(safe_divide(refund, amount), F.lit(0.0))

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import CHANNEL_PREFIXES, FUNNEL_SOURCES, map_channel, month_start, safe_divide
+from ..functions import CHANNEL_PREFIXES, FUNNEL_SOURCES, map_channel, month_start
 from ..operators.dedup import latest_per_key
 from ..operators.margin import kpi_ratios, period_change
 from ..operators.metrics import annual_totals, merge_metrics, reconcile, unmapped
