@@ -8,10 +8,11 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tillflow.session import build_session
     session = build_session("tillflow-tests", "local[8]", shuffle_partitions=8,
-                            **{"spark.ui.enabled": "false", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"})
+                            **{"spark.ui.enabled": "false", "spark.driver.memory": "8g",
+                               "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")), "spark.ui.showConsoleProgress": "false"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

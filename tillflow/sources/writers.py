@@ -20,17 +20,10 @@ def write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder ``spark.checkpoint.dir`` names; only a local session without one gets a temporary folder."""
+    """Use the folder ``spark.checkpoint.dir`` names; a session without one gets a temporary folder, as in a trial run."""
     context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        context.setCheckpointDir(named)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tillflow-checkpoint-"))
-    else:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tillflow-checkpoint-"))
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -55,6 +48,12 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(stage(df))
 
 
+def drop_stage(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder that no later plan reads."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def number_rows(df: DataFrame, order_by: Sequence[str | Column], out: str = "row_index") -> DataFrame:
     """Global 0-based row numbers in ``order_by`` order.
 
