@@ -1,0 +1,13 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).parent))
+
+
+@pytest.fixture(scope="session")
+def real(spark):
+    """The whole smallest table of documents, as rows ordered by doc_id."""
+    from conftest_llm import SF
+    return sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
