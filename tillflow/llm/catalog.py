@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe_transducer, orc_ids, token_counts
+from . import bpe_transducer, mixing, orc_ids, prefix_hash, quality, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +30,16 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op2_mix_sources", mixing.ORACLE)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op3_prefix_hashes")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_hash.edited_neighbours(_table(spark, sf_dir, "documents"))
+
+
 @query("op6_orc_token_ids")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orc_ids.token_id_files(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), end_id=2)
@@ -47,3 +57,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = bpe_transducer.decode(bpe_transducer.encode(_table(spark, sf_dir, "documents"), ranks), ranks)
     return decoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                           F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query("op9_quality_trees")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = quality.score_quality(docs, quality.fit_quality(docs, _table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
