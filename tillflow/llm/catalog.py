@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe_transducer, mixing, orc_ids, prefix_hash, quality, token_counts
+from . import bpe_transducer, mixing, orc_ids, prefix_hash, quality, simhash, sphere_filters, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +30,11 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_simhash_pivots")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, most_bits=4)
+
+
 @query("op2_mix_sources", mixing.ORACLE)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -64,3 +69,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     scored = quality.score_quality(docs, quality.fit_quality(docs, _table(spark, sf_dir, "labels")))
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
+@query("op10_sphere_filters")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sphere_filters.near_duplicates(_table(spark, sf_dir, "embeddings"), least=0.93)
