@@ -32,10 +32,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{label}-{uuid.uuid4().hex}"
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame) -> str:
-    """Write a frame as parquet below the checkpoint folder and return the path."""
-    path = scratch_path(df.sparkSession, "stage")
-    df.write.parquet(path)
+    """Write a frame as parquet below the checkpoint folder and return the path.
+
+    The shuffle files behind it go as soon as it is written, since later steps read the parquet; that setting holds for this write alone.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "stage")
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return path
 
 
