@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe_transducer, mixing, orc_ids, prefix_hash, quality, simhash, sphere_filters, token_counts
+from . import bpe_transducer, line_runs, mixing, orc_ids, prefix_hash, quality, rlz, simhash, sphere_filters, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,6 +45,20 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_hash.edited_neighbours(_table(spark, sf_dir, "documents"))
 
 
+@query("op4_line_runs", line_runs.ORACLE)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_runs.dedup_lines(_table(spark, sf_dir, "documents"), least_chars=40, documents=5)
+    return found.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
+                        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op5_rlz_spans")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rlz.remove_repeats(_table(spark, sf_dir, "documents"), window=50)
+    return found.select("doc_id", F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"),
+                        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query("op6_orc_token_ids")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orc_ids.token_id_files(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), end_id=2)
