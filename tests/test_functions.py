@@ -71,3 +71,15 @@ def test_exact_sum_does_not_depend_on_order(spark):
     a = spark.createDataFrame([(v,) for v in values], "v double").agg(exact_sum("v").alias("s")).first().s
     b = spark.createDataFrame([(v,) for v in reversed(values)], "v double").agg(exact_sum("v").alias("s")).first().s
     assert a == b == 1.0
+
+
+def test_json_scalars_go_by_type(spark):
+    from tillflow.operators.json_fields import flatten_json
+    texts = ['{"a": "[Sample] kit"}', '{"a": "{A-1}"}', '{"a": "[1]"}', '{"a": [1]}', '{"a": {"b": 1}}', '{"a": null}', '{"a": 12.5}', '{"a": true}', '{}',
+             '{"a": "x", "a": "[y"}', "no json", None, '[{"a": "[z]"}]']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r.v for r in df.select("i", json_scalar("t", "$.a").alias("v")).orderBy("i").collect()]
+    assert got[:9] == ["[Sample] kit", "{A-1}", "[1]", None, None, None, "12.5", "true", None]
+    assert got[9] in ("x", None) and got[10:] == [None, None, None]
+    flat = [r.a for r in flatten_json(df, "t", {"a": "string"}).orderBy("i").collect()]
+    assert flat[:9] == ["[Sample] kit", "{A-1}", "[1]", None, None, None, "12.5", "true", None] and flat[10:] == [None, None, "[z]"]

@@ -164,7 +164,7 @@ def _(s):
     return s["app_order"].select("sys_id", json_either("prescription_order_calculation", "total").cast("long").alias("total"))
 
 
-@query("JSN4_scalar_not_text", """select id, case when left(json_extract_string(metadata, '$.condition'), 1) in ('{', '[') then null
+@query("JSN4_scalar_not_text", """select id, case when json_type(metadata, '$.condition') in ('OBJECT', 'ARRAY') then null
  else json_extract_string(metadata, '$.condition') end as condition from t_product""")
 def _(s):
     return s["product"].select("id", json_scalar("metadata", "$.condition").alias("condition"))

@@ -32,10 +32,20 @@ def least_strict(*cols: Column | str) -> Column:
     return F.when(~_any_null(cs), F.least(*cs))
 
 
+def json_is_scalar(text: Column, path: str) -> Column:
+    """Whether the value at ``path`` is a text, number or boolean, by its JSON type; NULL where there is none.
+
+    A text that the typed parser rejects, such as one with a repeated key, is judged by the first letter of its value.
+    """
+    parsed = F.try_parse_json(text)
+    kind = F.schema_of_variant(F.try_variant_get(parsed, path, "variant"))
+    nested = F.when(parsed.isNotNull(), kind.rlike("^(OBJECT|ARRAY)")).otherwise(F.get_json_object(text, path).rlike(r"^[{\[]"))
+    return ~nested
+
+
 def json_scalar(col: Column | str, path: str) -> Column:
     """Text of a scalar JSON value; NULL when the path is missing or holds an object or array."""
-    value = F.get_json_object(_col(col), path)
-    return F.when(~F.substring(value, 1, 1).isin("{", "["), value)
+    return F.when(json_is_scalar(_col(col), path), F.get_json_object(_col(col), path))
 
 
 def json_either(col: Column | str, field: str) -> Column:

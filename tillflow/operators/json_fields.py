@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from ..functions.scalars import json_is_scalar
+
 
 def _schema(paths: list[tuple[str, ...]]) -> StructType:
     """Struct of texts that holds every path."""
@@ -30,13 +32,15 @@ def flatten_json(df: DataFrame, col: str, fields: Mapping[str, str | tuple[str,
     record = F.when(~is_array, F.from_json(text, schema))
     if or_first_element:
         record = F.when(is_array, F.get(F.from_json(text, ArrayType(schema)), F.lit(0))).otherwise(F.from_json(text, schema))
-    parsed = df.withColumn("_json", record)
+    parsed = df.withColumn("_json", record).withColumn("_in_array", is_array)
     out = {}
     for name, (path, kind) in specs.items():
-        value = F.col(".".join(["_json", *[f"`{p}`" for p in path]]))
-        scalar = F.when(~F.substring(value, 1, 1).isin("{", "["), value)
-        out[name] = scalar.cast(kind) if strict else scalar.try_cast(kind)
-    return parsed.withColumns(out).drop("_json")
+        value, inner = F.col(".".join(["_json", *[f"`{p}`" for p in path]])), "".join(f"['{p}']" for p in path)
+        # only a value that begins like an object or array needs its JSON type
+        scalar = F.when(F.col("_in_array"), json_is_scalar(text, f"$[0]{inner}")).otherwise(json_is_scalar(text, f"${inner}"))
+        kept = F.when(~value.rlike(r"^[{\[]") | scalar, value)
+        out[name] = kept.cast(kind) if strict else kept.try_cast(kind)
+    return parsed.withColumns(out).drop("_json", "_in_array")
 
 
 def map_of_entries(df: DataFrame, keys, key: str, value: str, out: str) -> DataFrame:

@@ -76,7 +76,9 @@ SQL["t_price"] = f"""select 'price_' || p_partkey as id, {REGION3.format('p_size
  case when p_size % 4 = 0 then '{{}}' else '{{"boxes": "' || (p_size % 5 + 1) || '"}}' end as metadata from part"""
 SQL["t_product"] = f"""select 'prod_' || p_partkey as id, {REGION3.format('p_size')} as region,
  case p_type when 'PROMO' then 'Teleconsultation ' || p_name else p_name end as name, p_size % 7 <> 0 as active,
- case when p_size = 50 then '{{"condition": {{"code": 1}}}}' when p_type = 'LARGE' then '{{"note": "none"}}'
+ case when p_size = 50 then '{{"condition": {{"code": 1}}}}' when p_size = 49 then '{{"condition": "[Sample] kit"}}'
+   when p_size = 48 then '{{"condition": ["ED", "PE"]}}' when p_size = 47 then '{{"condition": null}}' when p_size = 46 then '{{"condition": 12.5}}'
+   when p_size = 45 then '{{"condition": "{{trial}}"}}' when p_type = 'LARGE' then '{{"note": "none"}}'
    else '{{"condition": "' || {CONDITION.format('p_type')} || '"}}' end as metadata from part"""
 SQL["t_plan"] = f"""select 'plan_' || p_partkey as id, {REGION3.format('p_size')} as region, {CURRENCY3.format('p_size')} as currency,
  case p_type when 'ECONOMY' then 'month' when 'SMALL' then 'year' when 'STANDARD' then 'week' when 'PROMO' then 'day'
@@ -237,8 +239,8 @@ SQL["t_price_sheet"] = f"""select 'price_' || p_partkey as price_id, p_name as p
  '", "dosage": "' || p_size || 'mg", "boxes": ' || (p_size % 5) || '}}' as price_metadata from part"""
 SQL["t_atome_payments"] = """select 'ap_' || o_orderkey as sys_id, 'ord_' || o_orderkey as ordersysid, 'pat_' || o_custkey as patientsysid,
  case o_orderstatus when 'F' then 'PAID' else 'PENDING' end as status, cents as amount, o_orderdate as created_at,
- o_orderdate as updated_at, '{"refundableAmount": ' || cents || ', "merchantReferenceId": "mr_' || o_orderkey ||
- '", "paymentTransaction": {"tenor": ' || (o_orderkey % 12) || ', "orderId": "o_' || o_orderkey ||
+ o_orderdate as updated_at, '{"refundableAmount": ' || cents || ', "merchantReferenceId": "' || case o_orderkey % 3 when 0 then '{A-' || o_orderkey || '}' when 1 then '[r] ' || o_orderkey
+   else 'mr_' || o_orderkey end || '", "paymentTransaction": {"tenor": ' || (o_orderkey % 12) || ', "orderId": "o_' || o_orderkey ||
  '", "createAt": 1700000000000, "transactionId": "t_' || o_orderkey || '"}}' as webhook_payload
  from s_sale where o_orderpriority = '2-HIGH'"""
 SQL["t_consult_session"] = f"""select 'cs_' || event_id as sys_id, {REGION3.format('user_id')} as region, ts as created_at,
