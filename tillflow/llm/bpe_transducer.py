@@ -20,44 +20,73 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
 
 
+class _State(dict):
+    """A state's moves by byte: (next state, the tokens that may end behind the byte as (length, token), longest first)."""
+
+    __slots__ = ("live", "machine")
+
+    def __missing__(self, byte: int) -> tuple[_State, tuple[tuple[int, int], ...]]:
+        move = self[byte] = self.machine.move(self, byte)
+        return move
+
+
+class _Followers(dict):
+    """Which tokens may stand behind one token."""
+
+    __slots__ = ("left", "machine")
+
+    def __missing__(self, right: int) -> bool:
+        self.machine.known += 1
+        holds = self[right] = self.machine.holds(self.left, right)
+        return holds
+
+
 class Transducer:
     """Reads the bytes of one pre-token and emits token ids as soon as no further byte can change them.
 
-    Read as a nondeterministic machine, the vocabulary is a trie: after every byte a token may end and the next begin. Two
-    tokens may stand side by side only if merging their joined bytes gives the same two again, and a sequence in which all
-    neighbours may do so is the one the merges make. So each prefix of the input has exactly one way to end in a whole token, and a
-    state of the determinised machine is the set of places where the token that covers the next byte may have begun: for each
-    the tokens before it that are not emitted yet and the trie node reached from it. What all places agree on is emitted;
-    no place is further back than the longest token, which bounds the lookahead. States and transitions are
-    made when they are first needed, and are dropped all together at ``limit`` transitions.
+    Read as a nondeterministic machine, the vocabulary is a trie in which a token may begin at any byte. A state of the determinised
+    machine is the set of trie nodes reached from all places where the token that covers the next byte may have begun; its moves also say which
+    tokens may end there, the longest first. States and moves are made when they are first needed; there are no more states than nodes.
+
+    Two tokens may stand side by side only if merging their joined bytes gives the same two again, and a sequence in which all neighbours
+    may do so is the one the merges make. So each prefix of the input has one way to end in a whole token, and beside its state the machine
+    only remembers the last token of the prefixes that end at a live place. Tokens on which all live places agree are emitted; no live
+    place is further back than the longest token, which bounds the lookahead. Remembered pairs are dropped at ``limit``.
     """
 
-    def __init__(self, ranks: dict[bytes, int], limit: int = 300_000):
-        self.ranks, self.limit = ranks, limit
+    def __init__(self, ranks: dict[bytes, int], limit: int = 1_000_000):
+        self.ranks, self.limit, self.known = ranks, limit, 0
         self.bytes_of = {rank: token for token, rank in ranks.items()}
+        self.length = {rank: len(token) for token, rank in ranks.items()}
         self.child: dict[int, int] = {}
         self.token_at: list[int] = [-1]
-        self.inner = [False]
         for token, rank in ranks.items():
             node = 0
             for byte in token:
                 key = node << 8 | byte
                 step = self.child.get(key)
                 if step is None:
-                    self.inner[node] = True
-                    self.inner.append(False)
                     step = self.child[key] = len(self.token_at)
                     self.token_at.append(-1)
                 node = step
             self.token_at[node] = rank
-        self.pairs: dict[tuple[int, int], bool] = {}
         self.split: dict[int, tuple[int, int] | None] = {}
-        self._forget()
-
-    def _forget(self) -> None:
-        start = (-1, (((), 0),))
-        self.states, self.number = [start], {start: 0}
-        self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}
+        self.followers: dict[int, _Followers] = {}
+        self.states: dict[tuple, _State] = {}
+        self.start = self._state(((0, 0),))
+
+    def _state(self, live: tuple[tuple[int, int], ...]) -> _State:
+        state = self.states.get(live)
+        if state is None:
+            state = self.states[live] = _State()
+            state.live, state.machine = live, self
+        return state
+
+    def move(self, state: _State, byte: int) -> tuple[_State, tuple[tuple[int, int], ...]]:
+        """The move of the nodes of all live places, with the length read from each place, longest first."""
+        live = [(step, n + 1) for node, n in state.live if (step := self.child.get(node << 8 | byte)) is not None]
+        ending = tuple((n, self.token_at[node]) for node, n in live if self.token_at[node] >= 0)
+        return self._state((*live, (0, 0))), ending
 
     def merged(self, text: bytes, below: int = 1 << 60) -> list[bytes]:
         """What the merges of ranks under ``below`` make of a short text, lowest rank first, leftmost first among equals."""
@@ -77,16 +106,15 @@ class Transducer:
             self.split[token] = (self.ranks[parts[0]], self.ranks[parts[1]]) if len(parts) == 2 else None
         return self.split[token]
 
-    def may_follow(self, left: int, right: int) -> bool:
+    def behind(self, left: int) -> _Followers:
+        found = self.followers.get(left)
+        if found is None:
+            found = self.followers[left] = _Followers()
+            found.left, found.machine = left, self
+        return found
+
+    def holds(self, left: int, right: int) -> bool:
         """Whether ``right`` may stand behind ``left`` (-1: at the start)."""
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) >= 4 * self.limit:
-                self.pairs.clear()
-            known = self.pairs[left, right] = self._holds(left, right)
-        return known
-
-    def _holds(self, left: int, right: int) -> bool:
         # merges are undone latest first; the seam holds if at no time a merge over it would have come before the one undone
         made = [self.halves(t) is not None or len(self.bytes_of[t]) == 1 for t in (left, right) if t >= 0]
         if left < 0 or not all(made):
@@ -104,56 +132,49 @@ class Transducer:
             else:
                 before, right = right + 1, b[0]  # of equal ranks the merge further left, which is the one over the seam, comes first
 
-    def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        last, places = self.states[state]
-        child, token_at, inner, pairs = self.child.get, self.token_at, self.inner, self.pairs
-        whole, live = None, []
-        for chain, node in places:
-            step = child(node << 8 | byte)
-            if step is None:
-                continue
-            if whole is None and (token := token_at[step]) >= 0:
-                left = chain[-1] if chain else last
-                holds = pairs.get((left, token))
-                if self.may_follow(left, token) if holds is None else holds:
-                    whole = (*chain, token)
-            if inner[step]:
-                live.append((chain, step))
-        assert whole is not None, "the ranks lack a single byte"
-        emitted: tuple[int, ...] = ()
-        if not live:
-            emitted, last = whole, whole[-1]
-            live = [((), 0)]
-        else:
-            live.append((whole, 0))
-            if live[0][0]:
-                shortest, agreed = min(len(chain) for chain, _ in live), 0
-                while agreed < shortest and all(chain[agreed] == whole[agreed] for chain, _ in live):
-                    agreed += 1
-                if agreed:
-                    emitted, last = whole[:agreed], whole[agreed - 1]
-                    live = [(chain[agreed:], node) for chain, node in live]
-        reached = (last, tuple(live))
-        number = self.number.setdefault(reached, len(self.states))
-        if number == len(self.states):
-            self.states.append(reached)
-        move = self.moves[state << 8 | byte] = (number, emitted)
-        return move
+    def _agreed(self, state: _State, last: list[int]) -> int:
+        """The place up to which the tokens before all live places are the same."""
+        ends = {len(last) - 1 - n for _, n in state.live}
+        while len(ends) > 1:
+            furthest = max(ends)
+            ends.remove(furthest)
+            ends.add(furthest - self.length[last[furthest]])
+        return ends.pop()
+
+    def _tokens(self, last: list[int], end: int) -> list[int]:
+        """The tokens up to a place, from the last token of each prefix."""
+        out, length = [], self.length
+        while end > 0:
+            token = last[end]
+            out.append(token)
+            end -= length[token]
+        out.reverse()
+        return out
+
+    def encode(self, piece: bytes, every: int = 512) -> list[int]:
+        """The tokens of one pre-token; one that is a token itself is that token, as in the public encoder.
 
-    def encode(self, piece: bytes) -> list[int]:
-        """The tokens of one pre-token; one that is a token itself is that token, as in the public encoder."""
+        Every so many bytes what is agreed on is emitted and forgotten.
+        """
         if piece in self.ranks:
             return [self.ranks[piece]]
-        if len(self.moves) >= self.limit:
-            self._forget()
+        if self.known > self.limit:
+            self.followers, self.known = {}, 0
         out: list[int] = []
-        state, moves = 0, self.moves
+        state, last, behind, followers = self.start, [-1], [self.behind(-1)], self.followers
         for byte in piece:
-            move = moves.get(state << 8 | byte) or self._move(state, byte)
-            state = move[0]
-            out += move[1]
-        out += self.states[state][1][-1][0]  # the last place is the end of the piece
-        return out
+            state, ending = state[byte]
+            for n, token in ending:
+                if n == 1 or behind[-n][token]:  # nothing is shorter than one byte, and one of them fits
+                    break
+            last.append(token)
+            behind.append(followers.get(token) or self.behind(token))
+            if len(last) > every:
+                cut = self._agreed(state, last)
+                if cut > 0:
+                    out += self._tokens(last, cut)
+                    last, behind = last[cut:], behind[cut:]
+        return out + self._tokens(last, len(last) - 1)
 
 
 class Utf8Stream:
@@ -197,31 +218,26 @@ class Utf8Stream:
 
 
 class Codec:
-    """Encoder and decoder of one rank file, with the ids of pieces met before."""
+    """Encoder of one rank file, with the ids of stretches met before."""
 
     def __init__(self, path: str):
         self.transducer = Transducer(load_ranks(path))
-        self.cutter, self.known = SpaceCutter(), {}
-        self.table = PieceTable(self._encode_all, limit=500_000)
-        self.token_bytes = self.transducer.bytes_of
+        self.cutter = SpaceCutter()
+        self.table = PieceTable(self._encode_all, limit=600_000)
 
     def _encode_all(self, stretches: Sequence[str]) -> list[list[int]]:
-        known, encode, match, out = self.known, self.transducer.encode, self.cutter.match, []
-        if len(known) > 400_000:
-            known.clear()
-        for stretch in stretches:
-            ids: list[int] = []
-            for piece in match(stretch):
-                found = known.get(piece)
-                if found is None:
-                    found = known[piece] = encode(piece.encode("utf-8", "surrogateescape"))
-                ids += found
-            out.append(ids)
-        return out
+        encode, match = self.transducer.encode, self.cutter.match
+        return [[t for piece in match(s) for t in encode(piece.encode("utf-8", "surrogateescape"))] for s in stretches]
 
-    def encode(self, text: str) -> np.ndarray:
-        stretches = self.cutter.stretches(text)
-        return self.table.ids(self.cutter.match(text) if stretches is None else stretches)
+    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
+        return self.table.ids([self.cutter.stretches(t) for t in texts])
+
+
+class Decoder:
+    """Decoder of one rank file."""
+
+    def __init__(self, path: str):
+        self.token_bytes = {rank: token for token, rank in load_ranks(path).items()}
 
     def decode(self, ids: np.ndarray, part: int = 4096) -> Iterator[str]:
         """The text of the ids, part by part."""
@@ -233,13 +249,18 @@ class Codec:
 
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
-    """One codec per worker and rank file. Its many small tuples hold no cycles, so they are kept from the garbage collector."""
+    """One encoder per worker and rank file. Its many small objects hold no cycles, so they are kept from the garbage collector."""
     made = Codec(path)
     gc.freeze()
     gc.set_threshold(200_000, 100, 100)
     return made
 
 
+@lru_cache(maxsize=2)
+def decoder(path: str) -> Decoder:
+    return Decoder(path)
+
+
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: id and ``ids``, the tokens by the ranks at ``path`` as packed little-endian unsigned 32-bit integers.
 
@@ -248,8 +269,8 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path)
-        for batch in slices(batches):
-            packed = [coder.encode(t or "").astype("<u4").tobytes() for t in batch.column(1).to_pylist()]
+        for batch in slices(batches, 64):
+            packed = [ids.astype("<u4").tobytes() for ids in coder.encode([t or "" for t in batch.column(1).to_pylist()])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], [id_col, "ids"])
     return docs.select(id_col, text).mapInArrow(run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, ids binary")
 
@@ -257,7 +278,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
     """Per row of ``encode``: id, ``ids`` and ``text``, decoded in parts. Null ids give an empty text; an unknown id is an error."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = codec(path)
+        coder = decoder(path)
         for batch in slices(batches):
             texts = ["".join(coder.decode(np.frombuffer(ids or b"", "<u4"))) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], [id_col, "ids", "text"])

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,10 @@ import regex
 # Fixed value: the public pattern that cuts a text before any merge.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+# The byte-level alphabet. Bytes that print stand for themselves, the others for the code points from 256 on.
+_PRINT = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_ALPHABET = {b: chr(b) for b in _PRINT} | {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in set(_PRINT))}
+
 
 class SpaceCutter:
     """Cut a text into stretches between two spaces that the matches of ``PATTERN`` never cross.
@@ -25,61 +30,69 @@ class SpaceCutter:
         self.match = regex.compile(pattern).findall
         self.odd = regex.compile(r"\s \s?|^ | $| \s").search
 
-    def stretches(self, text: str) -> list[str] | None:
-        """The stretches between the spaces, with their space in front, or None where the text can't be cut so."""
+    def stretches(self, text: str) -> list[str]:
+        """The stretches between the spaces, with their space in front; the matches where the text can't be cut so."""
         if not text or self.odd(text):
-            return None
+            return self.match(text)
         first, *rest = text.split(" ")
         return [first, *[" " + x for x in rest]]
 
 
+class _Slots(dict):
+    """Slots of pieces; a piece that is looked up for the first time gets the next one and is noted as new."""
+
+    __slots__ = ("new",)
+
+    def __missing__(self, piece) -> int:
+        slot = self[piece] = len(self)
+        self.new.append(piece)
+        return slot
+
+
 class PieceTable:
     """Ids of the pieces met before in one flat array: a text costs one lookup per piece and one gather.
 
-    At ``limit`` pieces the table starts anew, so a worker's memory is bounded; a piece met again is encoded again.
+    Beyond ``limit`` pieces the table starts anew, so a worker's memory is bounded; a piece met again is encoded again.
     """
 
-    def __init__(self, encode: Callable[[Sequence], Sequence[Sequence[int]]], limit: int = 1_000_000):
+    def __init__(self, encode: Callable[[Sequence], Iterable[Sequence[int]]], limit: int = 1_000_000):
         self.encode, self.limit = encode, limit
         self._clear()
 
     def _clear(self) -> None:
-        self.slot: dict = {}
-        self.start, self.length = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
-        self.flat, self.used = np.zeros(4096, np.uint32), 0
-
-    def _add(self, pieces: list) -> None:
-        for piece, ids in zip(pieces, self.encode(pieces), strict=True):
-            at, n = len(self.slot), len(ids)
-            if at == len(self.start):
-                self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
-            while self.used + n > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.slot[piece], self.start[at], self.length[at] = at, self.used, n
-            self.flat[self.used:self.used + n] = ids
-            self.used += n
-
-    def slots(self, pieces: list) -> np.ndarray:
-        get = self.slot.get
-        found = [get(p, -1) for p in pieces]
-        slots = np.array(found, np.int64)
-        if (slots < 0).any():
-            new = list(dict.fromkeys(p for p, s in zip(pieces, found, strict=True) if s < 0))
-            if len(self.slot) + len(new) > self.limit and self.slot:
-                self._clear()
-                new = list(dict.fromkeys(pieces))
-            self._add(new)
-            slots = np.array([self.slot[p] for p in pieces], np.int64)
-        return slots
-
-    def ids(self, pieces: list) -> np.ndarray:
-        """The ids of the pieces, one after the other, as unsigned 32-bit integers."""
-        if not pieces:
-            return np.zeros(0, np.uint32)
-        slots = self.slots(pieces)
+        self.slot = _Slots()
+        self.slot.new = []
+        self.filled, self.used = 0, 0
+        self.start, self.length, self.flat = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.uint32)
+
+    def _fill(self) -> None:
+        found = list(self.encode(self.slot.new))
+        self.slot.new = []
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        values = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
+        for name, new, used in (("start", self.used + np.cumsum(lengths) - lengths, self.filled), ("length", lengths, self.filled),
+                                ("flat", values, self.used)):
+            array = getattr(self, name)
+            if used + len(new) > len(array):
+                array = np.concatenate([array, np.zeros(max(len(array), len(new)), array.dtype)])
+                setattr(self, name, array)
+            array[used:used + len(new)] = new
+        self.filled += len(found)
+        self.used += len(values)
+
+    def ids(self, lists: Sequence[Sequence]) -> list[np.ndarray]:
+        """For each list of pieces their ids, one after the other, as unsigned 32-bit integers."""
+        if len(self.slot) > self.limit:
+            self._clear()
+        sizes = [len(pieces) for pieces in lists]
+        slots = np.fromiter(map(self.slot.__getitem__, chain.from_iterable(lists)), np.int64, sum(sizes))
+        if self.slot.new:
+            self._fill()
         lengths = self.length[slots]
         ends = np.cumsum(lengths)
-        return self.flat[np.repeat(self.start[slots] - (ends - lengths), lengths) + np.arange(ends[-1])]
+        flat = self.flat[np.repeat(self.start[slots] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        cuts = np.concatenate([[0], ends])[np.cumsum([0, *sizes])]
+        return [flat[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
