@@ -295,13 +295,20 @@ def _(s):
     return flatten_json(s["app_order"], "prescription_order_calculation", fields, strict=True).select("sys_id", *fields)
 
 
-@query("CMP29_normalize_sales", """select sales_channel, region, count(*) as n, sum(quantity)::bigint as quantity, sum(line_item_amount_usd) as amount, sum(amount_refunded_usd) as refunds,
- count(cogs) as with_cost from (select * from h_tiktok_sales union all by name select * from h_lazada_sales union all by name select * from h_shopee_sales) u group by 1, 2""", r2="amount refunds")
+CHANNEL_LINES = ["sales_channel", "region", "purchase_type", "customer_id", "charge_id", "purchase_date", "product_id", "product_name", "condition", "quantity",
+                 "currency", "line_item_amount_usd", "amount_refunded_usd", "cogs", "packaging", "fee_rate", "acquisition_date"]
+
+
+@query("CMP29_normalize_sales", f"select {', '.join(CHANNEL_LINES)} from h_lines", dates="purchase_date acquisition_date", ints="quantity",
+       r4="line_item_amount_usd amount_refunded_usd cogs packaging", r6="fee_rate")
 def _(s):
-    market = finance.marketplace_costs(s)
-    rows = finance.normalize_sales([finance.tiktok_sales(s, market["tiktok"]), finance.lazada_sales(s, market["lazada"]), finance.shopee_sales(s, market["shopee"])])
-    return rows.groupBy("sales_channel", "region").agg(F.count("*").alias("n"), F.sum("quantity").alias("quantity"), F.sum("line_item_amount_usd").alias("amount"),
-                                                       F.sum("amount_refunded_usd").alias("refunds"), F.count("cogs").alias("with_cost"))
+    boxes = finance.product_cost_per_box(s["product_cost"])
+    market, cost, tax = finance.marketplace_costs(s), finance.product_cost(s, boxes), finance.tax_rate_history(s)
+    rows = finance.normalize_sales([
+        finance.stripe_sales(s, cost), finance.tiktok_sales(s, market["tiktok"]), finance.lazada_sales(s, market["lazada"]),
+        finance.shopee_sales(s, market["shopee"]), finance.cod_sales(s, boxes, finance.cod_sg_orders(s), "sg"),
+        finance.cod_sales(s, boxes, finance.cod_hk_orders(s), "hk"), finance.atome_sales(s, tax, cost)])
+    return rows.select(*CHANNEL_LINES)
 
 
 @query("CMP30_split_signed", """select atome_order_id, sum(greatest(transaction_amount, 0)) as sale_amount, sum(-least(transaction_amount, 0)) as refund_amount,

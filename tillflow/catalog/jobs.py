@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import FUNNEL_SOURCES, PAGE_MEDIUMS, PAGE_SOURCES
+from ..operators.ranges import asof_range_join
 from ..plans import finance, lifecycle, marketing, payments, web
 from ..sources.regions import region_union
 from ..sources.writers import number_batches
 from .hubs import AS_OF, START, STATE, exact, intent_price, ladder, scalar
 from .hubs import lifecycle as lifecycle_sql
 from .registry import query
-from .rows import by_region
+from .rows import PAYMENT_VIEWS, by_region, payment_union
 
 c = F.col
 LINES_R2 = "total_charge_amount_usd amount_refunded_usd line_item_amount_usd cogs packaging"
@@ -77,9 +80,9 @@ def _(s):
 
 @query("JB3_cac", """select k.m as date, upper(k.country) as country, k.v as marketing_spend, l.revenue, l.cogs, l.gst as gst_vat_usd, l.refund as refund_usd, x.mrr,
  coalesce(n.n, 0) as n_new_customers from (select date_trunc('month', date)::date as m, lower(country_code) as country, sum(cost_usd) as v from h_spend group by 1, 2) k
- left join (select a as m, region, count(*) as n from (select region, customer_id, date_trunc('month', min(created))::date as a from t_charge where status = 'succeeded'
+ left join (select a as m, region, count(customer_id) as n from (select region, customer_id, date_trunc('month', min(created))::date as a from t_charge where status = 'succeeded'
   group by 1, 2) f group by 1, 2) n on n.m = k.m and n.region = k.country
- left join (select date_trunc('month', purchase_date)::date as m, region, sum(sale) as revenue, sum(cogs) as cogs, sum(gst_vat * sale) as gst, sum(refund_rate * sale) as refund
+ left join (select date_trunc('month', purchase_date)::date as m, region, sum(sale) as revenue, sum(cogs * quantity) as cogs, sum(gst_vat * sale) as gst, sum(refund_rate * sale) as refund
   from h_lines where purchase_type = 'Subscription' group by 1, 2) l on l.m = k.m and l.region = k.country
  left join (select obs_date as m, region, sum(mrr_usd) as mrr from h_metrics where day(obs_date) = 1 and mrr_usd > 0 group by 1, 2) x on x.m = k.m and x.region = k.country""",
        dates="date", r2="marketing_spend revenue cogs gst_vat_usd refund_usd mrr")
@@ -102,11 +105,11 @@ def _(s):
 
 def charge_lines(intent_join: str = "join", line_join: str = "left join") -> str:
     return f"""from t_charge c {intent_join} t_payment_intent pi on pi.id = c.payment_intent_id join t_fx f on f.currency = c.currency
- {line_join} t_invoice_line_item li on li.invoice_id = c.invoice_id left join h_price x on x.price_id = coalesce(li.price_id, {intent_price('pi.metadata')})"""
+ left join t_subunits u on u.currency = c.currency {line_join} t_invoice_line_item li on li.invoice_id = c.invoice_id left join h_price x on x.price_id = coalesce(li.price_id, {intent_price('pi.metadata')})"""
 
 
 @query("JB5_charge_history", f"""with paid as (select distinct c.created::date as created, c.region, if(li.subscription_id is null, 'One-Time', 'Subscription') as purchase_type,
- c.customer_id, x.found_product as product_id, x.product_name, x.condition, coalesce(x.unit_amount, c.amount) / f.fx_to_usd / 100 as amount,
+ c.customer_id, x.found_product as product_id, x.product_name, x.condition, coalesce(x.unit_amount, c.amount) / f.fx_to_usd / coalesce(u.subunits, 100) as amount,
  min(c.created::date) over (partition by c.customer_id) as first_purchase {charge_lines('left join')} where c.status = 'succeeded'),
  grid as (select distinct region, purchase_type, customer_id, product_id, product_name, condition, first_purchase from paid),
  rows as (select date_trunc('month', created)::date as created, * exclude (created) from paid union all by name
@@ -163,8 +166,8 @@ def _(s):
  from (select customer_id, date_trunc('month', purchase_date)::date as date, sum(sale) as rev from h_lines where sales_channel = 'Stripe' group by 1, 2) m""",
        dates="date acq_date", r2="rev cum_rev")
 def _(s):
-    # not from the staged hub: the channel filter prunes the other six channels from the plan
-    return finance.cumulative_revenue(finance.contribution_margin(s))
+    # from the card channel alone, not from the hub of all channels
+    return finance.cumulative_revenue(finance.stripe_sales(s, finance.product_cost(s, finance.product_cost_per_box(s["product_cost"]))))
 
 
 @query("JB12_customer_segments", f"""select region, obs_date, segment, count(distinct customer_id) as n_customers, count(*) filter (where mrr > 0) as n_paying, sum(mrr) as mrr_usd,
@@ -224,8 +227,8 @@ def _(s):
 
 
 @query("JB18_monthly_charges", f"""select 'Stripe' as sales_channel, c.region, bt.type, if(li.subscription_id is null, 'One-Time', 'Subscription') as purchase_type, c.customer_id,
- c.id as charge_id, c.created::date as purchase_date, c.amount / f.fx_to_usd / 100 as total_charge_amount_usd, coalesce(c.amount_refunded / c.amount, 0) as refund_rate,
- x.found_product as product_id, x.product_name, x.condition, coalesce(li.quantity, 1) as quantity, x.unit_amount / f.fx_to_usd / 100 as line_item_amount_usd,
+ c.id as charge_id, c.created::date as purchase_date, c.amount / f.fx_to_usd / coalesce(u.subunits, 100) as total_charge_amount_usd, coalesce(c.amount_refunded / c.amount, 0) as refund_rate,
+ x.found_product as product_id, x.product_name, x.condition, coalesce(li.quantity, 1) as quantity, x.unit_amount / f.fx_to_usd / coalesce(u.subunits, 100) as line_item_amount_usd,
  k.cogs / f.fx_to_usd as cogs, k.cashback, k.gst_vat, coalesce(bt.fee / bt.amount, 0) as fee_rate {charge_lines()}
  join t_balance_transaction bt on bt.id = c.balance_transaction_id left join t_price_cogs k on k.price_id = x.price_id where c.status = 'succeeded'
  union all select 'TikTok', 'sg', null, 'One-Time', o.buyer_username, o.order_id::varchar, o.created_time, 0, coalesce(o.order_refund_amount, 0) / o.revenue, o.sku_id::varchar,
@@ -267,8 +270,8 @@ def _(s):
     return lifecycle.churn_baseline(metrics(s))
 
 
-@query("JB23_non_subscription_charges", f"""select c.region, c.customer_id, c.id as charge_id, c.created as charge_created, c.amount / f.fx_to_usd / 100 as charge_amount_usd,
- coalesce(x.product_name, 'Unknown') as product_name, x.condition, sum(coalesce(c.amount, li.amount) / 100 / f.fx_to_usd) as total_amount_usd
+@query("JB23_non_subscription_charges", f"""select c.region, c.customer_id, c.id as charge_id, c.created as charge_created, c.amount / f.fx_to_usd / coalesce(u.subunits, 100) as charge_amount_usd,
+ coalesce(x.product_name, 'Unknown') as product_name, x.condition, sum(coalesce(c.amount, li.amount) / coalesce(u.subunits, 100) / f.fx_to_usd) as total_amount_usd
  {charge_lines(line_join='join')} join t_invoice i on i.id = c.invoice_id
  where c.status = 'succeeded' and coalesce(i.subscription_id, '') = '' group by 1, 2, 3, 4, 5, 6, 7""", stamps="charge_created", r4="charge_amount_usd total_amount_usd")
 def _(s):
@@ -350,14 +353,14 @@ def _(s):
     return payments.rx_vs_otc(s, NOT_RX, OTC)
 
 
-@query("JB32_purchase_export", """select md5(trim(c.customer_id)) as id, cu.email, c.created as purchase_date, c.description as transaction_type, c.amount as purchase_amount,
+@query("JB32_purchase_export", """select md5(trim(cu.id)) as id, cu.email, c.created as purchase_date, c.description as transaction_type, c.amount as purchase_amount,
  r.amount as refund_amount, p.name as product_name, x.id as price_id, coalesce(max(m.value) filter (where m.key = 'paymentIntentPriceId'),
  max(m.value) filter (where m.key = 'stripePriceIds')) as price_id_no_invoice, max(li.price_id) as invoice_price_id,
  string_agg(distinct pm.key || '=' || pm.value, ',' order by pm.key || '=' || pm.value) as price_metadata from t_charge c left join t_customer cu on cu.id = c.customer_id
  left join t_invoice i on i.id = c.invoice_id left join t_subscription_price sp on sp.subscription_id = i.subscription_id left join t_price x on x.id = sp.price_id
  left join t_product p on p.id = x.product_id left join t_price_metadata pm on pm.price_id = x.id left join t_invoice_line_item li on li.invoice_id = i.id
  left join t_intent_metadata m on m.payment_intent_id = c.payment_intent_id left join t_refund r on r.charge_id = c.id
- where c.status = 'succeeded' and c.created >= date '1999-01-01' group by c.id, c.customer_id, cu.email, c.created, c.description, c.amount, r.amount, p.name, x.id""",
+ where c.status = 'succeeded' and c.created >= date '1999-01-01' group by c.id, cu.id, cu.email, c.created, c.description, c.amount, r.amount, p.name, x.id""",
        stamps="purchase_date")
 def _(s):
     rows = payments.purchase_export(s, "1999-01-01")
@@ -365,14 +368,18 @@ def _(s):
     return rows.withColumn("price_metadata", F.array_join(pairs, ","))
 
 
-@query("JB33_interval_changes", """with hist as (select *, lag(n) over w as prev, first_value(n) over w as first_n from (select distinct upper(h.region) as country, h.id, h.status,
- h.created::date as created, h.valid_from::date as updated, p.product_id, d.name as product_name, d.condition, p.interval_count as n from t_subscription_history h
- join t_invoice_line_item li on li.invoice_id = h.latest_invoice_id join t_plan p on p.id = li.plan_id and p.plan_interval = 'month' join h_product d on d.id = p.product_id) v
- window w as (partition by id, product_id order by updated, n nulls first))
- select f.country, f.id as subscription_id, f.created as subscription_created, a.updated as subscription_updated, f.product_id, f.product_name, f.condition,
- f.first_n as first_interval_count, a.n as current_interval_count, date_diff('day', a.created, a.updated) as days_elapsed from (select * from hist where first_n <= 3 and status = 'active'
- qualify row_number() over (partition by id, product_id order by updated, n nulls first) = 1) f left join hist a on a.id = f.id and a.product_id = f.product_id and a.n > a.prev and a.n > 3
- and date_diff('day', a.created, a.updated) <= 90""", dates="subscription_created subscription_updated", ints="days_elapsed")
+@query("JB33_interval_changes", """with monthly_plan as (select id, product_id, interval_count as months from t_plan where plan_interval = 'month'),
+ version as (select distinct upper(h.region) as country, h.id, h.status, h.created, h.valid_from, l.plan_id, m.product_id, d.name, d.condition, m.months
+  from h_product d join monthly_plan m on m.product_id = d.id join t_invoice_line_item l on l.plan_id = m.id join t_subscription_history h on h.latest_invoice_id = l.invoice_id),
+ numbered as (select *, row_number() over (partition by id, product_id order by valid_from, plan_id) as pos from version),
+ opening as (select id, product_id, months from numbered where pos = 1),
+ short as (select n.*, o.months as opened from numbered n join opening o on o.id = n.id and o.product_id = n.product_id where o.months <= 3 and n.status = 'active'),
+ begun as (select * from short s where pos = (select min(x.pos) from short x where x.id = s.id and x.product_id = s.product_id)),
+ longer as (select later.* from numbered later join numbered before on before.id = later.id and before.product_id = later.product_id and before.pos = later.pos - 1
+  where later.months > before.months and later.months > 3 and later.valid_from::date - later.created::date <= 90)
+ select b.country, b.id as subscription_id, b.created::date as subscription_created, r.valid_from::date as subscription_updated, b.product_id, b.name as product_name,
+  b.condition, b.opened as first_interval_count, r.months as current_interval_count, r.valid_from::date - r.created::date as days_elapsed
+ from begun b left join longer r on r.id = b.id and r.product_id = b.product_id""", dates="subscription_created subscription_updated", ints="days_elapsed")
 def _(s):
     return payments.interval_changes(s).withColumn("days_elapsed", c("days_elapsed").cast("long"))
 
@@ -401,16 +408,12 @@ def _(s):
     return web.order_prescriptions(s, wanted)
 
 
-@query("JB37_region_union_views", """select 'charge' as source, region, id from t_charge union all select 'plan', region, id from t_plan union all select 'invoice', region, id from t_invoice
- union all select 'product', region, id from t_product union all select 'payment_intent', region, id from t_payment_intent union all select 'price', region, id from t_price
- union all select 'customer', region, id from t_customer union all select 'balance_transaction', region, id from t_balance_transaction""")
+@query("JB37_region_union_views", " union all ".join(f"select '{n}' as source, region, {'plan_id' if n == 'subscription_item' else 'id'} as id from t_{table}"
+                                                 for n, (table, _) in PAYMENT_VIEWS.items()))
 def _(s):
-    names = ["charge", "plan", "invoice", "product", "payment_intent", "price", "customer", "balance_transaction"]
-    from ..sources.regions import all_regions
-    views = all_regions({n: by_region(s[n]) for n in names}, {"payment_intent": ["created", "customer_id", "description", "id", "metadata"],
-                                                              "balance_transaction": ["id", "amount", "currency", "fee", "type"]})
-    from functools import reduce
-    return reduce(lambda a, b: a.unionByName(b), [views[n].select(F.lit(n).alias("source"), "region", "id") for n in names])
+    views = payment_union(s)
+    return reduce(DataFrame.unionByName, [
+        views[n].select(F.lit(n).alias("source"), "region", c("plan_id" if n == "subscription_item" else "id").alias("id")) for n in PAYMENT_VIEWS])
 
 
 @query("JB38_unpaid_appointments", "select * from h_appointment where has_subscription = false and date >= date '1999-04-25' - interval 3 month", dates="date")
@@ -568,13 +571,13 @@ def _(s):
 
 @query("JB61_product_cost_per_box", "select region, id as product_id, cost_box, packaging_cost, a as from_date, b as to_date from h_box", dates="from_date to_date", r4="cost_box packaging_cost")
 def _(s):
-    return finance.product_cost_per_box(finance.cost_sheets(s))
+    return finance.product_cost_per_box(s["product_cost"])
 
 
 @query("JB62_product_cost", "select region, product_id, price_id, currency, a as from_date, b as to_date, cogs, packaging, cashback from h_price_cost",
        dates="from_date to_date", r4="cogs packaging cashback")
 def _(s):
-    return finance.product_cost(s, finance.product_cost_per_box(finance.cost_sheets(s)))
+    return finance.product_cost(s, finance.product_cost_per_box(s["product_cost"]))
 
 
 @query("JB63_subscription_lifecycle_monthly", "select * from h_sub_life", dates="obs_date", r2="current_mrr lagged_mrr")
@@ -590,12 +593,16 @@ def _(s):
     return finance.subscription_renewals(lines(s))
 
 
-@query("JB65_tax_rate_history", """select c.region, r.a as from_date, r.b as to_date, r.rate, count(*) as n_charges from t_charge c join h_tax r on r.region = c.region
- and c.created::date between r.a and r.b group by 1, 2, 3, 4""", dates="from_date to_date", r4="rate")
+@query("JB65_tax_rate_history", """select region, effective_from as from_date, rate, coalesce((select min(n.effective_from) - 1 from t_tax_rates n
+ where n.region = t.region and n.effective_from > t.effective_from), date '9999-12-31') as to_date,
+ (select count(*) from t_charge c where c.region = t.region and c.created::date >= t.effective_from and not exists (select 1 from t_tax_rates n
+  where n.region = t.region and n.effective_from > t.effective_from and n.effective_from <= c.created::date)) as n_charges from t_tax_rates t""",
+       dates="from_date to_date", r4="rate")
 def _(s):
-    tax = finance.tax_rate_history(s).withColumnsRenamed({"region": "r", "from_date": "a", "to_date": "b"})
-    on = (c("region") == c("r")) & F.to_date("created").between(c("a"), c("b"))
-    return s["charge"].join(tax, on).groupBy("region", c("a").alias("from_date"), c("b").alias("to_date"), "rate").agg(F.count("*").alias("n_charges"))
+    tax = finance.tax_rate_history(s)
+    found = asof_range_join(s["charge"].withColumn("day", F.to_date("created")), tax.withColumn("range_from", c("from_date")), {"region": "region"}, "day", how="inner")
+    counts = found.groupBy("region", c("range_from").alias("from_date")).agg(F.count("*").alias("n_charges"))
+    return tax.join(counts, ["region", "from_date"], "left").withColumn("n_charges", F.coalesce("n_charges", F.lit(0)))
 
 
 @query("JB66_marketplace_costs", """select 'lazada' as shop, seller_sku as sku, product_name, cogs, packaging, a as from_date, b as to_date from h_lazada

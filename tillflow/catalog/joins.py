@@ -41,13 +41,12 @@ def _(s):
     return count("O", "n_open").join(count("F", "n_done"), ["l_partkey", "l_suppkey"])
 
 
-@query("JN4_full_outer", """select coalesce(a.day, b.day) as day, n_signup, n_purchase from
- (select user_id as day, count(*) as n_signup from events where event_type = 'signup' and value > 8 group by 1) a full outer join
- (select user_id as day, count(*) as n_purchase from events where event_type = 'purchase' and value > 8 group by 1) b on a.day = b.day""")
+@query("JN4_full_outer", """select coalesce(a.user_id, b.user_id) as user_id, n_signup, n_error from
+ (select user_id, count(*) as n_signup from events where event_type = 'signup' group by 1) a full outer join
+ (select user_id, count(*) as n_error from events where event_type = 'error' group by 1) b on a.user_id = b.user_id""")
 def _(s):
-    count = lambda kind, name: (s.base("events").filter((c("event_type") == kind) & (c("value") > 8))
-                                .groupBy(c("user_id").alias("day")).agg(F.count("*").alias(name)))
-    return count("signup", "n_signup").join(count("purchase", "n_purchase"), "day", "full_outer")
+    count = lambda kind, name: s.base("events").filter(c("event_type") == kind).groupBy("user_id").agg(F.count("*").alias(name))
+    return count("signup", "n_signup").join(count("error", "n_error"), "user_id", "full_outer")
 
 
 @query("JN5_entity_calendar", """select c_custkey, m::date as month from customer,
@@ -158,10 +157,9 @@ def _(s):
     return o.select("o_orderkey", F.when(c("o_orderdate") == c("first"), "Yes").otherwise("No").alias("is_first"))
 
 
-@query("JN19_anti", "select p_partkey from part where not exists (select 1 from lineitem where l_partkey = p_partkey and l_quantity > 30)")
+@query("JN19_anti", "select c_custkey from customer where not exists (select 1 from orders where o_custkey = c_custkey)")
 def _(s):
-    sold = s.base("lineitem").filter(c("l_quantity") > 30)
-    return anti_join(s.base("part"), sold, c("l_partkey") == c("p_partkey")).select("p_partkey")
+    return anti_join(s.base("customer"), s.base("orders"), c("o_custkey") == c("c_custkey")).select("c_custkey")
 
 
 @query("JN20_exists_flag", """select c_custkey, exists (select 1 from orders where o_custkey = c_custkey and o_totalprice > 480000) as big_buyer
@@ -199,4 +197,4 @@ def _(s):
   from t_tax_rates where region = 'sg') r on o.date between r.a and r.b""", dates="date", r4="rate")
 def _(s):
     tax = finance.tax_rate_history(s).filter(c("region") == "sg")
-    return asof_range_join(s["cod_sg_new"].select("date", "email"), tax, {"region": F.lit("sg")}, "date")
+    return asof_range_join(s["cod_sg_new"].select("date", "email"), tax, {"region": F.lit("sg")}, "date", by_year=True)

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import tune
+from ..session import tuned
 from ..sources.writers import scratch_path
 from ..testbed import tables as shop_tables
 from ..testbed.tables import ShopTables
@@ -49,7 +49,7 @@ def query(name: str, sql: str | None = None, dates: str = "", stamps: str = "",
 
     def register(fn: Callable[[ShopTables], DataFrame]):
         def plain(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(ShopTables(tune(spark), sf_dir))
+            return fn(ShopTables(tuned(spark), sf_dir))
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return _shown(plain(spark, sf_dir), digits)

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from pathlib import Path
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions import map_channel, month_start, typed_null
 from ..operators.dedup import latest_per_key
 from ..sources.readers import Tables, read_csv, read_sheet_range, read_snapshot, run_query_file
-from ..sources.regions import all_regions, region_union
+from ..sources.regions import region_union
 from ..sources.writers import publish_view, write_batches, write_snapshot
 from ..plans import payments
 from .registry import query, scratch
@@ -32,15 +33,32 @@ def _(s):
     return s.spark.table("paid_charges").groupBy("region").agg(F.count("*").alias("n"), F.sum("amount").alias("amount"))
 
 
-@query("SRC3_region_union_payments", """select 'charge' as source, region, count(*) as n, sum(amount)::bigint as amount from t_charge group by 2
- union all select 'price', region, count(*), sum(unit_amount)::bigint from t_price group by 2
- union all select 'invoice', region, count(*), sum(subtotal)::bigint from t_invoice group by 2""")
+# every payment table: the test table that stands for it, and a test on its columns
+PAYMENT_VIEWS = {
+    "subscription_history": ("subscription_history", "ended_at is not null"), "subscription_item": ("regional_subscription_item", "quantity > 1"),
+    "charge": ("charge", "amount > 1000"), "plan": ("plan", "amount > 1000"), "invoice": ("invoice", "subtotal > 1000"), "product": ("product", "active"),
+    "invoice_item": ("invoice_item", "amount > 1000"), "payment_intent": ("payment_intent", "metadata <> '{}'"), "price": ("price", "unit_amount > 1000"),
+    "invoice_line_item": ("regional_invoice_line_item", "quantity > 10"), "customer": ("customer", "email is not null"),
+    "balance_transaction": ("balance_transaction", "fee > 100")}
+
+
+def payment_union(s):
+    """All twelve payment views out of regional frames; the listed columns that a test table lacks are empty in it."""
+    def frames(name):
+        df = s[PAYMENT_VIEWS[name][0]]
+        missing = [c for c in payments.PAYMENT_COLUMNS.get(name, []) if c not in df.columns]
+        return by_region(df.withColumns({c: typed_null("string") for c in missing}))
+    return payments.payment_views({name: frames(name) for name in PAYMENT_VIEWS})
+
+
+@query("SRC3_region_union_payments", " union all ".join(
+    f"select '{n}' as source, region, count(*) as n, count(*) filter (where {test}) as n_tested from t_{table} group by 2"
+    for n, (table, test) in PAYMENT_VIEWS.items()))
 def _(s):
-    union = all_regions({n: by_region(s[n]) for n in ("charge", "price", "invoice")})
-    amounts = {"charge": "amount", "price": "unit_amount", "invoice": "subtotal"}
-    parts = [union[n].groupBy(F.lit(n).alias("source"), "region").agg(F.count("*").alias("n"), F.sum(a).alias("amount"))
-             for n, a in amounts.items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    union = payment_union(s)
+    return reduce(DataFrame.unionByName, [
+        union[n].groupBy(F.lit(n).alias("source"), "region").agg(F.count("*").alias("n"), F.count_if(F.expr(test)).alias("n_tested"))
+        for n, (_, test) in PAYMENT_VIEWS.items()])
 
 
 @query("SRC4_region_union_application", "select id, region, status from t_appointment")

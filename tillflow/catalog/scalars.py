@@ -191,8 +191,10 @@ def _(s):
     return s.base("customer").select("c_custkey", F.split("c_name", "#")[1].alias("number"))
 
 
-@query("MAP1_construction", "select payment_intent_id, max(value) as value from t_intent_metadata where key = 'stripePriceIds' group by 1")
+@query("MAP1_construction", """select payment_intent_id, string_agg(key || '=' || value, ',' order by key) as entries, count(*) as n from
+ (select payment_intent_id, key, max(value) as value from t_intent_metadata where key is not null group by 1, 2) m group by 1""")
 def _(s):
     from ..operators.json_fields import map_of_entries
     maps = map_of_entries(s["intent_metadata"], ["payment_intent_id"], "key", "value", "m")
-    return maps.select("payment_intent_id", c("m")["stripePriceIds"].alias("value")).filter("value is not null")
+    entries = F.transform(F.array_sort(F.map_entries("m")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return maps.select("payment_intent_id", F.array_join(entries, ",").alias("entries"), F.size("m").cast("long").alias("n"))

@@ -71,14 +71,14 @@ def attribute_history(df: DataFrame, keys: Sequence[str], order_cols: Sequence[s
 
 
 def detect_increase(history: DataFrame, keys: Sequence[str], value: str, changed: str, created: str,
-                    low: int, within_days: int, start_filter) -> DataFrame:
+                    low: int, within_days: int, start_filter, tie_break: Sequence[str] | None = None) -> DataFrame:
     """Entities that start at or below ``low`` and rise above it within ``within_days`` of their creation.
 
     ``history`` comes from :func:`attribute_history`. The result keeps every starting entity; without a rise its
-    change columns are NULL.
+    change columns are NULL. ``changed`` and ``tie_break`` (default: the value) order the versions of a key.
     """
     starts = latest_per_key(history.filter((F.col(f"first_{value}") <= low) & start_filter), keys, [changed],
-                            desc=False, tie_break=[value])
+                            desc=False, tie_break=tie_break or [value])
     elapsed = F.datediff(F.col(changed), F.col(created))
     rises = (history.filter((F.col(value) > F.col(f"previous_{value}")) & (F.col(value) > low)
                             & (elapsed <= within_days))

@@ -14,7 +14,6 @@ from ..operators.margin import margin_waterfall, negative_part, pivot_txn, posit
 from ..operators.money import minor_to_usd, with_rate
 from ..operators.ranges import asof_range_join, effective_ranges
 from ..operators.sequence import activity_within, cumulative_by
-from ..sources.regions import region_union
 from ..sources.writers import materialise
 from .payments import condition_of, intent_price_id, price_products, purchase_type_of, succeeded
 
@@ -42,15 +41,10 @@ def tax_rate_history(t: Tables, closed: bool = True) -> DataFrame:
         "region", "from_date", "to_date", "rate")
 
 
-def product_cost_per_box(regional: Mapping[str, DataFrame], closed: bool = True) -> DataFrame:
-    """Box cost ranges of the regional cost sheets."""
-    sheets = region_union(regional, ["id", "cost_box", "packaging_cost", "effective_date"])
-    return effective_ranges(sheets.withColumnRenamed("id", "product_id"), ["region", "product_id"], "effective_date", closed)
-
-
-def cost_sheets(t: Tables) -> dict[str, DataFrame]:
-    """The regional cost sheets out of one region-tagged table."""
-    return {r: t["product_cost"].filter(F.col("region") == r).drop("region") for r in ("sg", "hk", "jp")}
+def product_cost_per_box(sheets: DataFrame, closed: bool = True) -> DataFrame:
+    """Box cost ranges of a region-tagged cost sheet; separate regional sheets are first put through ``region_union``."""
+    rows = sheets.select("region", F.col("id").alias("product_id"), "cost_box", "packaging_cost", "effective_date")
+    return effective_ranges(rows, ["region", "product_id"], "effective_date", closed)
 
 
 def product_cost(t: Tables, boxes: DataFrame) -> DataFrame:
@@ -85,7 +79,7 @@ def cod_hk_orders(t: Tables) -> DataFrame:
     """Cash-on-delivery orders of the second region: old sheet, then airway bills with their lines."""
     old = t["cod_hk_old"].select(F.col("purchase_date").alias("date"), "email", F.lower("currency").alias("currency"),
                                  "quantity", "product_id", "purchase_amount")
-    skus = cost_sheets(t)["hk"].select(F.lower("sku").alias("_sku"), F.col("id").alias("product_id")).distinct()
+    skus = t["product_cost"].filter(F.col("region") == "hk").select(F.lower("sku").alias("_sku"), F.col("id").alias("product_id")).distinct()
     lines = t["airway_lines"].join(skus, F.lower("sku") == F.col("_sku"), "left")
     new = t["airway_bills"].join(lines, "awb_no", "left").select(
         F.col("delivery_date").alias("date"), "email", F.lit("hkd").alias("currency"), "quantity", "product_id",
@@ -244,9 +238,8 @@ def cod_sales(t: Tables, boxes: DataFrame, orders: DataFrame, region: str) -> Da
 def atome_sales(t: Tables, tax: DataFrame, cost: DataFrame) -> DataFrame:
     """Instalment orders: signed transactions summed per order; orders without a positive amount are dropped."""
     # per order first: the sums and the order date shrink the sheet to one row per order, currency and tax rate
-    # (the rates of a single region: a handful of ranges)
     txn = asof_range_join(with_rate(t["atome_manual"], "currency", t["fx"]), tax.withColumnRenamed("rate", "gst_vat"),
-                          {"region": F.lit("sg")}, "transaction_time")
+                          {"region": F.lit("sg")}, "transaction_time", by_year=True)
     fx = F.col("fx_to_usd")
     sums = (txn.groupBy("atome_order_id", "short_id", F.lower("currency").alias("currency"), "fx_to_usd", "gst_vat")
             .agg(F.min("transaction_time").alias("_first"), F.sum(positive_part("transaction_amount")).alias("sale"),
@@ -276,7 +269,7 @@ def atome_sales(t: Tables, tax: DataFrame, cost: DataFrame) -> DataFrame:
 
 def contribution_margin(t: Tables) -> DataFrame:
     """Order lines of the seven sales channels with new/existing flag and subscription start (hub)."""
-    tax, boxes = tax_rate_history(t), product_cost_per_box(cost_sheets(t))
+    tax, boxes = tax_rate_history(t), product_cost_per_box(t["product_cost"])
     cost, market = product_cost(t, boxes), marketplace_costs(t)
     lines = normalize_sales([
         stripe_sales(t, cost), tiktok_sales(t, market["tiktok"]), shopee_sales(t, market["shopee"]),
@@ -372,7 +365,7 @@ def cm3(hub: DataFrame, spend: DataFrame, t: Tables) -> DataFrame:
         "sales_channel", F.col("region").alias("country"), month_start("purchase_date").alias("purchase_month"), "purchase_type",
         F.coalesce("new_existing", F.lit("New")).alias("new_existing"), "billing_reason",
         F.coalesce("condition", F.lit("N/A")).alias("condition"), "currency", "customer_id", "charge_id", "recurring_interval",
-        "recurring_interval_count", "gst_vat", sale_amount().alias("amount"), "cogs", "packaging", "cashback", "fee_rate",
+        "recurring_interval_count", "gst_vat", sale_amount().alias("amount"), (F.col("cogs") * F.col("quantity")).alias("cogs"), "packaging", "cashback", "fee_rate",
         "amount_refunded_usd")
     keys = ["sales_channel", "country", "purchase_month", "purchase_type", "new_existing", "billing_reason", "condition", "currency",
             "customer_id", "charge_id", "recurring_interval", "recurring_interval_count", "gst_vat"]

@@ -24,32 +24,33 @@ SPEND_MEASURES = ["reach", "clicks", "impressions", "cost_local", "cost_usd"]
 
 # --- newest versions of the platform tables ---------------------------------------------------------------------------
 def google_accounts(t: Tables) -> DataFrame:
-    return latest_per_key(t["google_account"], ["id"], ["updated_at"]).select(
+    return latest_per_key(t["google_account"], ["id"], ["updated_at"], tie_break=["currency_code"]).select(
         F.col("id").alias("customer_id"), "currency_code")
 
 
 def google_campaigns(t: Tables) -> DataFrame:
-    return latest_per_key(t["google_campaign"], ["id"], ["updated_at"]).select(
+    return latest_per_key(t["google_campaign"], ["id"], ["updated_at"], tie_break=["name"]).select(
         F.col("id").alias("campaign_id"), F.col("name").alias("campaign_name"))
 
 
 def google_countries(t: Tables) -> DataFrame:
     """Newest targeted country per campaign."""
-    target = latest_per_key(t["google_target"].filter("geo_target_id is not null"), ["campaign_id"], ["updated_at"])
+    target = latest_per_key(t["google_target"].filter("geo_target_id is not null"), ["campaign_id"], ["updated_at"],
+                            tie_break=["geo_target_id"])
     geo = t["geo_target"].select(F.col("id").alias("geo_target_id"), "country_code")
     return target.join(geo, "geo_target_id", "left").select("campaign_id", "country_code")
 
 
 def facebook_accounts(t: Tables) -> DataFrame:
-    return latest_per_key(t["fb_account"], ["id"], ["created_time"]).select(
+    return latest_per_key(t["fb_account"], ["id"], ["created_time"], tie_break=["currency"]).select(
         F.col("id").cast("string").alias("account_id"), F.col("currency").alias("currency_code"))
 
 
 def facebook_countries(t: Tables) -> DataFrame:
     """Targeted countries per ad: newest ad version to newest ad set version."""
-    ads = latest_per_key(t["fb_ad"], ["id"], ["updated_time"]).select(
+    ads = latest_per_key(t["fb_ad"], ["id"], ["updated_time"], tie_break=["ad_set_id"]).select(
         F.col("id").cast("string").alias("ad_id"), F.col("ad_set_id").cast("string").alias("ad_set_id"))
-    sets = latest_per_key(t["fb_ad_set"], ["id"], ["updated_time"]).select(
+    sets = latest_per_key(t["fb_ad_set"], ["id"], ["updated_time"], tie_break=["countries"]).select(
         F.col("id").cast("string").alias("ad_set_id"), F.regexp_replace("countries", r'[\[\]"]', "").alias("country_code"))
     return ads.join(sets, "ad_set_id", "left").select("ad_id", "country_code")
 
@@ -232,7 +233,7 @@ def cost_per_completion(t: Tables) -> DataFrame:
             .agg(F.countDistinct("message_id").alias("completions")))
     visits = (t["page_event"].groupBy(F.to_date("ts").alias("date"), map_channel("context_campaign_source", FUNNEL_SOURCES).alias("utm_source"))
               .agg(F.count("message_id").alias("page_visits")))
-    fb_ccy = latest_per_key(t["fb_account"], ["id"], ["created_time"]).select(F.col("id").alias("account_id"), F.col("currency").alias("ccy"))
+    fb_ccy = latest_per_key(t["fb_account"], ["id"], ["created_time"], tie_break=["currency"]).select(F.col("id").alias("account_id"), F.col("currency").alias("ccy"))
     fb = with_rate(t["fb_campaign_daily"].join(fb_ccy, "account_id", "left"), "ccy", t["fx"])
     fb = fb.groupBy(F.col("campaign_name").alias("utm_campaign"), "date").agg(
         F.sum(F.col("spend") / F.col("fx_to_usd")).alias("fb_usd"), F.sum(F.col("ctr") * F.col("impressions") / 100).alias("fb_clicks"),
@@ -275,7 +276,7 @@ def cac(t: Tables, hub: DataFrame, spend: DataFrame, metrics: DataFrame) -> Data
     amount = sale_amount()
     lines = (hub.filter(F.col("purchase_type") == "Subscription")
              .groupBy(month_start("purchase_date").alias("date"), F.lower("region").alias("country"))
-             .agg(F.sum(amount).alias("revenue"), F.sum("cogs").alias("cogs"), F.sum(F.col("gst_vat") * amount).alias("gst_vat_usd"),
+             .agg(F.sum(amount).alias("revenue"), F.sum(F.col("cogs") * F.col("quantity")).alias("cogs"), F.sum(F.col("gst_vat") * amount).alias("gst_vat_usd"),
                   F.sum(F.col("refund_rate") * amount).alias("refund_usd")))
     new = (acquisition_months(t).groupBy(F.col("acquired").alias("date"), F.lower("region").alias("country"))
            .agg(F.countDistinct("customer_id").alias("n_new_customers")))

@@ -12,11 +12,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import json_scalar, month_start
 from ..operators.calendar import date_steps, expand_intervals
 from ..operators.dedup import latest_per_key
+from ..operators.joins import null_safe_join
 from ..operators.json_fields import map_of_entries
 from ..operators.money import minor_to_usd, with_rate
 from ..operators.sequence import (attribute_history, conversion_share, detect_increase, sequence_events, share_of_groups)
 from ..operators.subscriptions import effective_end, month_observations, monthly_recurring
 from ..sources.regions import all_regions
+from ..sources.writers import materialise
 
 Tables = Mapping[str, DataFrame]
 
@@ -29,7 +31,7 @@ PAYMENT_TABLES = ["subscription_history", "subscription_item", "charge", "plan",
 # Column subsets of the two tables whose regional shapes differ.
 PAYMENT_COLUMNS = {
     "payment_intent": [
-        "synced_at", "amount", "amount_capturable", "amount_received", "application", "application_fee_amount",
+        "_fivetran_synced", "amount", "amount_capturable", "amount_received", "application", "application_fee_amount",
         "canceled_at", "cancellation_reason", "capture_method", "confirmation_method", "connected_account_id", "created",
         "currency", "customer_id", "description", "id", "last_payment_error_charge_id", "last_payment_error_code",
         "last_payment_error_decline_code", "last_payment_error_doc_url", "last_payment_error_message",
@@ -38,7 +40,7 @@ PAYMENT_COLUMNS = {
         "transfer_data_destination", "transfer_group"],
     "balance_transaction": [
         "id", "connected_account_id", "amount", "available_on", "created", "currency", "description", "exchange_rate",
-        "fee", "net", "source", "status", "type", "reporting_category", "synced_at"],
+        "fee", "net", "source", "status", "type", "reporting_category", "_fivetran_synced"],
 }
 
 
@@ -148,16 +150,20 @@ def purchase_type_of(subscription_id: str) -> Column:
 
 
 def charge_history(t: Tables, as_of, start=CALENDAR_START) -> DataFrame:
-    """Month x customer x product amounts in USD with zeros for silent months since the first purchase."""
-    charges = with_rate(succeeded(t), "currency", t["fx"], how="inner")
+    """Month x customer x product amounts in USD with zeros for silent months since the first purchase.
+
+    A row per entity and month of the calendar is what the result is; the calendar from ``start`` to ``as_of`` bounds it.
+    """
+    charges = with_rate(succeeded(t), "currency", t["fx"], "inner", t["subunits"])
+    # charges without a customer are one group, as in a window over the customer
     first = charges.groupBy("customer_id").agg(F.min(F.to_date("created")).alias("first_purchase"))
     lines = charge_lines(t, charges).join(price_products(t), "price_id", "left")
     rows = lines.select(
         F.col("created"), "region", purchase_type_of("line_subscription_id").alias("purchase_type"), "customer_id",
         "product_id", "product_name", "condition",
-        minor_to_usd(F.coalesce("unit_amount", "amount"), subunits=100).alias("amount")).distinct()
+        minor_to_usd(F.coalesce("unit_amount", "amount")).alias("amount")).distinct()
     entity = ["region", "purchase_type", "customer_id", "product_id", "product_name", "condition"]
-    dated = rows.join(first, "customer_id").withColumn("created", F.to_date("created"))
+    dated = null_safe_join(rows, first, ["customer_id"]).withColumn("created", F.to_date("created"))
     months = (dated.groupBy(*entity, "first_purchase", month_start("created").alias("created"))
                    .agg(F.sum("amount").alias("amount")))
     zero_from = F.greatest(month_start("first_purchase"), F.lit(start).cast("date"))
@@ -192,15 +198,16 @@ def monthly_charges(t: Tables) -> DataFrame:
     bt = t["balance_transaction"].select(F.col("id").alias("balance_transaction_id"), "type", "fee",
                                          F.col("amount").alias("bt_amount"))
     cogs = t["price_cogs"].select("price_id", "cogs", "cashback", "gst_vat")
-    card = (with_rate(charge_lines(t, intents_how="inner").join(bt, "balance_transaction_id"), "currency", t["fx"], how="inner")
+    card = (with_rate(charge_lines(t, intents_how="inner").join(bt, "balance_transaction_id"), "currency", t["fx"], "inner",
+                      t["subunits"])
             .join(price_products(t), "price_id", "left").join(cogs, "price_id", "left"))
     card = card.select(
         F.lit("Stripe").alias("sales_channel"), "region", "type", purchase_type_of("line_subscription_id").alias("purchase_type"),
         "customer_id", F.col("id").alias("charge_id"), F.to_date("created").alias("purchase_date"),
-        minor_to_usd("amount", subunits=100).alias("total_charge_amount_usd"),
+        minor_to_usd("amount").alias("total_charge_amount_usd"),
         F.coalesce(F.try_divide("amount_refunded", "amount"), F.lit(0.0)).alias("refund_rate"),
         "product_id", "product_name", "condition", F.coalesce("line_quantity", F.lit(1)).alias("quantity"),
-        minor_to_usd("unit_amount", subunits=100).alias("line_item_amount_usd"),
+        minor_to_usd("unit_amount").alias("line_item_amount_usd"),
         (F.col("cogs") / F.col("fx_to_usd")).alias("cogs"), "cashback", "gst_vat",
         F.coalesce(F.try_divide("fee", "bt_amount"), F.lit(0.0)).alias("fee_rate"))
     costs = t["tiktok_cogs"].select("sku_id", "product_name", F.col("cogs").alias("unit_cogs"))
@@ -224,12 +231,12 @@ def non_subscription_charges(t: Tables) -> DataFrame:
     outside = (t["invoice"].filter(F.col("subscription_id").isNull() | (F.col("subscription_id") == ""))
                .select(F.col("id").alias("invoice_id")))
     lines = charge_lines(t, lines_how="inner", intents_how="inner").join(outside, "invoice_id")
-    priced = with_rate(lines, "currency", t["fx"], how="inner").join(price_products(t), "price_id", "left")
-    usd = minor_to_usd("amount", subunits=100)
+    priced = with_rate(lines, "currency", t["fx"], "inner", t["subunits"]).join(price_products(t), "price_id", "left")
+    usd = minor_to_usd("amount")
     return (priced.groupBy("region", "customer_id", F.col("id").alias("charge_id"), F.col("created").alias("charge_created"),
                            usd.alias("charge_amount_usd"), F.coalesce("product_name", F.lit("Unknown")).alias("product_name"),
                            "condition")
-                  .agg(F.sum(minor_to_usd(F.coalesce("amount", "line_amount"), subunits=100)).alias("total_amount_usd")))
+                  .agg(F.sum(minor_to_usd(F.coalesce("amount", "line_amount"))).alias("total_amount_usd")))
 
 
 def one_time_upgrade_rate(t: Tables) -> DataFrame:
@@ -288,7 +295,7 @@ def rx_vs_otc(t: Tables, not_rx: Sequence[str], otc: Sequence[str]) -> DataFrame
     kinds = (bought.groupBy("region", "customer_id")
              .agg(F.max((~F.col("product_id").isin(*not_rx)).cast("int")).alias("rx"),
                   F.max(F.col("product_id").isin(*otc).cast("int")).alias("otc")))
-    rx = kinds.filter("rx = 1").select("region", "customer_id")
+    rx = kinds.filter("rx = 1 and customer_id is not null").select("region", "customer_id")
     # the over-the-counter side matches by customer in any region, one match per region it bought in
     otc_regions = kinds.filter("otc = 1").groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
     counts = (rx.join(otc_regions, "customer_id", "left")
@@ -298,7 +305,7 @@ def rx_vs_otc(t: Tables, not_rx: Sequence[str], otc: Sequence[str]) -> DataFrame
 
 
 def purchase_export(t: Tables, since: str) -> DataFrame:
-    """Charge rows with a pseudonymous customer id, product, both price-id sources and the price metadata map."""
+    """Charge rows with a pseudonymous id of the customer row found, product, both price-id sources and the price metadata map."""
     meta = t["intent_metadata"]
     price_keys = meta.groupBy(F.col("payment_intent_id").alias("pi_id")).agg(
         F.max(F.when(F.col("key") == "paymentIntentPriceId", F.col("value"))).alias("a"),
@@ -309,7 +316,7 @@ def purchase_export(t: Tables, since: str) -> DataFrame:
     sub_price = t["subscription_price"].select(F.col("subscription_id").alias("sub_id"), "price_id")
     price = t["price"].select(F.col("id").alias("price_id"), F.col("product_id").alias("prod_id"))
     product = t["product"].select(F.col("id").alias("prod_id"), F.col("name").alias("product_name"))
-    customers = t["customer"].select(F.col("id").alias("customer_id"), "email")
+    customers = t["customer"].select(F.col("id").alias("customer_id"), F.col("id").alias("found_id"), "email")
     refunds = t["refund"].select(F.col("charge_id"), F.col("amount").alias("refund_amount")).distinct()
     return (succeeded(t).filter(F.col("created") >= F.lit(since).cast("date"))
             .join(customers, "customer_id", "left")
@@ -319,7 +326,7 @@ def purchase_export(t: Tables, since: str) -> DataFrame:
             .join(invoice_price, F.col("invoice_id") == F.col("inv_id"), "left")
             .join(price_keys, F.col("payment_intent_id") == F.col("pi_id"), "left")
             .join(refunds, F.col("id") == F.col("charge_id"), "left")
-            .select(F.md5(F.trim("customer_id")).alias("id"), "email", F.col("created").alias("purchase_date"),
+            .select(F.md5(F.trim("found_id")).alias("id"), "email", F.col("created").alias("purchase_date"),
                     F.col("description").alias("transaction_type"), F.col("amount").alias("purchase_amount"), "refund_amount",
                     "product_name", "price_id", F.coalesce("a", "b").alias("price_id_no_invoice"), "invoice_price_id",
                     "price_metadata"))
@@ -334,14 +341,14 @@ def interval_changes(t: Tables, low: int = 3, within_days: int = 90) -> DataFram
     lines = t["invoice_line_item"].select(F.col("invoice_id").alias("latest_invoice_id"), "plan_id")
     versions = (t["subscription_history"].join(lines, "latest_invoice_id").join(plans, "plan_id").join(product, "product_id")
                 .select(F.upper("region").alias("country"), F.col("id").alias("subscription_id"), "status",
-                        F.to_date("created").alias("subscription_created"), F.to_date("valid_from").alias("subscription_updated"),
-                        "product_id", "product_name", "condition", "interval_count").distinct())
+                        "created", "valid_from", "plan_id", "product_id", "product_name", "condition", "interval_count").distinct())
     keys = ["subscription_id", "product_id"]
-    history = attribute_history(versions, keys, ["subscription_updated", "interval_count"], "interval_count")
-    rises = detect_increase(history, keys, "interval_count", "subscription_updated", "subscription_created", low,
-                            within_days, F.col("status") == "active")
-    return rises.select("country", "subscription_id", "subscription_created", "subscription_updated", "product_id",
-                        "product_name", "condition", "first_interval_count", "current_interval_count", "days_elapsed")
+    # the history is read for its neighbours, its firsts, the starts and the rises: computed once. Versions of one day stay apart.
+    history = attribute_history(materialise(versions), keys, ["valid_from", "plan_id"], "interval_count")
+    rises = detect_increase(history, keys, "interval_count", "valid_from", "created", low, within_days, F.col("status") == "active",
+                            tie_break=["plan_id"])
+    return rises.select("country", "subscription_id", F.to_date("created").alias("subscription_created"),
+                        F.to_date("valid_from").alias("subscription_updated"), "product_id", "product_name", "condition", "first_interval_count", "current_interval_count", "days_elapsed")
 
 
 def contact_export(t: Tables) -> DataFrame:

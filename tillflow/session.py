@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings: UTC dates, AQE re-planning with skew splitting also where the split costs one more
-# shuffle, and size-checked automatic broadcasts only (the library itself gives no broadcast hints).
+# shuffle, and size-checked automatic broadcasts only.
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -14,15 +14,21 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
     "spark.sql.autoBroadcastJoinThreshold": str(32 << 20),
-    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else built."""
-    for key, value in SQL_SETTINGS.items():
-        spark.conf.set(key, value)
-    return spark
+_TUNED: dict[str, SparkSession] = {}
+
+
+def tuned(spark: SparkSession) -> SparkSession:
+    """A session of the same application with the runtime settings; the caller's own session stays as it is."""
+    application = spark.sparkContext.applicationId
+    if application not in _TUNED:
+        session = spark.newSession()
+        for key, value in SQL_SETTINGS.items():
+            session.conf.set(key, value)
+        _TUNED[application] = session
+    return _TUNED[application]
 
 
 def build_session(app: str = "tillflow", master: str | None = None, shuffle_partitions: int | None = None,

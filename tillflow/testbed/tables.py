@@ -45,7 +45,7 @@ SQL["t_condition_map"] = """select * from (values ('hair', 'Hair Loss'), ('ed',
 SQL["s_sale"] = f"""select o_orderkey, o_custkey, o_orderstatus, o_orderpriority, o_orderdate,
  cast(o_orderdate as date) as o_day, cast(round(o_totalprice * 100) as bigint) as cents,
  {REGION3.format('o_custkey')} as region, {CURRENCY3.format('o_custkey')} as currency from orders"""
-SQL["t_charge"] = """select 'ch_' || o_orderkey as id, region, o_orderdate as created, 'cus_' || o_custkey as customer_id,
+SQL["t_charge"] = """select 'ch_' || o_orderkey as id, region, o_orderdate as created, case when o_orderkey % 23 <> 0 then 'cus_' || o_custkey end as customer_id,
  case o_orderstatus when 'P' then 'failed' else 'succeeded' end as status, cents as amount,
  case o_orderpriority when '5-LOW' then cents when '3-MEDIUM' then cast(floor(cents / 4) as bigint) else 0 end
    as amount_refunded,
@@ -117,13 +117,21 @@ SQL["t_subscription_item"] = """select 'sub_' || o_custkey || '_' || year(o_day)
 SQL["t_subscription_price"] = """select subscription_id, min(replace(plan_id, 'plan', 'price')) as price_id
  from t_subscription_item group by subscription_id"""
 
+# --- the payment tables that hold no region of their own, and charges put on invoices by hand ----------------------
+SQL["t_regional_subscription_item"] = "select p.region, i.* from t_subscription_item i join t_plan p on p.id = i.plan_id"
+SQL["t_regional_invoice_line_item"] = """select p.region, l.invoice_id || '_' || l.price_id as id, l.* from t_invoice_line_item l
+ join t_price p on p.id = l.price_id"""
+SQL["t_invoice_item"] = f"""select {REGION3.format('l_suppkey')} as region, 'ii_' || l_orderkey || '_' || l_linenumber as id, 'in_' || l_orderkey as invoice_id,
+ cast(round(l_extendedprice * 10) as bigint) as amount from lineitem where l_returnflag = 'A'"""
+
 # --- product costs ----------------------------------------------------------------------------------------------
 SQL["s_cost"] = """select p_partkey, p_size, floor(round(p_retailprice * 100) * 200 / 1000) / 100e0 as cost, 1 + p_size * 0.05e0 as packaging,
  cast('1994-01-01' as date) as since from part
  union all select p_partkey, p_size, floor(round(p_retailprice * 100) * 250 / 1000) / 100e0, 1 + p_size * 0.06e0,
  DAYS(cast('1998-01-01' as date), p_size) from part"""
 SQL["t_product_cost"] = f"""select {REGION3.format('p_size')} as region, 'prod_' || p_partkey as id, 'SKU-' || p_partkey as sku,
- cost as cost_box, packaging as packaging_cost, since as effective_date from s_cost"""
+ cost as cost_box, packaging as packaging_cost, since as effective_date from s_cost
+ union all select 'th', 'prod_' || p_partkey, 'SKU-' || p_partkey, cost * 2, packaging, since from s_cost where p_size % 7 = 0"""
 SQL["t_marketplace_cogs"] = f"""select p_partkey, 'sku-' || p_partkey as sku, 'Item ' || p_partkey as product_name, cost as cogs,
  packaging, case p_size % 3 when 0 then 'ED' when 1 then 'Hair Loss' else null end as condition,
  since as effective_date from s_cost"""
@@ -272,7 +280,8 @@ SQL["t_google_account"] = """select n_nationkey as id, 'USD' as currency_code, c
  cast('1996-01-01' as date) from nation"""
 SQL["t_google_target"] = """select s_suppkey as campaign_id, s_nationkey as geo_target_id, cast('1995-01-01' as date) as updated_at
  from supplier where s_suppkey % 10 <> 0 union all
- select s_suppkey, case when s_suppkey % 4 = 0 then null else (s_nationkey + 1) % 25 end, cast('1996-01-01' as date) from supplier"""
+ select s_suppkey, case when s_suppkey % 4 = 0 then null else (s_nationkey + 1) % 25 end, cast('1996-01-01' as date) from supplier
+ union all select s_suppkey, (s_nationkey + 2) % 25, cast('1996-01-01' as date) from supplier where s_suppkey % 3 = 0"""
 SQL["t_geo_target"] = """select n_nationkey as id, case n_nationkey % 3 when 0 then 'SG' when 1 then 'HK' else 'JP' end as country_code
  from nation"""
 SQL["t_fb_levels"] = """select cast(l_shipdate as date) as date, l_partkey as ad_id, l_suppkey % 25 as account_id,
