@@ -157,9 +157,10 @@ def _(s):
     return o.select("o_orderkey", F.when(c("o_orderdate") == c("first"), "Yes").otherwise("No").alias("is_first"))
 
 
-@query("JN19_anti", "select c_custkey from customer where not exists (select 1 from orders where o_custkey = c_custkey)")
+@query("JN19_anti", "select o_orderkey from orders where not exists (select 1 from lineitem where l_orderkey = o_orderkey and l_returnflag = 'R')")
 def _(s):
-    return anti_join(s.base("customer"), s.base("orders"), c("o_custkey") == c("c_custkey")).select("c_custkey")
+    returned = s.base("lineitem").filter(c("l_returnflag") == "R")
+    return anti_join(s.base("orders"), returned, c("l_orderkey") == c("o_orderkey")).select("o_orderkey")
 
 
 @query("JN20_exists_flag", """select c_custkey, exists (select 1 from orders where o_custkey = c_custkey and o_totalprice > 480000) as big_buyer

@@ -1,8 +1,9 @@
 """Ordered rows of one entity: neighbours, numbering, running totals and changes.
 
-Raw-grain windows over an entity would put a hot entity into one task. The functions here cut every entity into
-time buckets (months), work inside a bucket with a plain window, and carry the bucket edges through a small table
-with one row per entity and bucket. The results equal those of the plain window.
+Raw-grain windows over an entity would put a hot entity into one task. The functions here sort all rows over all tasks by entity and
+order, work with a plain window inside an entity's part of one task's range, and carry the edges of the ranges through a small table with
+one row per entity and range. The ranges come from the data, so also an entity with most of one day's rows is split. The results
+equal those of the plain window.
 """
 
 from __future__ import annotations
@@ -11,28 +12,36 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from ..sources.writers import materialise
 from .dedup import latest_per_key
 from .joins import null_safe_join, with_group_value
 
 
+def _ranges(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The rows with the number ``_b`` of the range of ``by`` that they lie in.
+
+    They are staged, so a lost executor cannot deal them to other ranges. ``by`` should order the rows fully, else equal rows share a range.
+    """
+    return materialise(df.repartitionByRange(*by).withColumn("_b", F.spark_partition_id()))
+
+
 def with_neighbours(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], previous: Mapping[str, str] = {},
-                    following: Mapping[str, str] = {}, bucket: str = "month") -> DataFrame:
+                    following: Mapping[str, str] = {}) -> DataFrame:
     """Add the previous / following row's values: ``{new column: source column}``.
 
-    ``order_cols`` must order the rows of a key fully; the first one is a date or timestamp.
+    ``order_cols`` must order the rows of a key fully.
     """
-    day = order_cols[0]
-    bucketed = df.withColumn("_b", F.trunc(F.col(day), bucket))
+    ranged = _ranges(df, [*keys, *order_cols])
     inner = W.partitionBy(*keys, "_b").orderBy(*order_cols)
     prev_row = F.struct(*[F.col(c).alias(o) for o, c in previous.items()] or [F.lit(0).alias("_")])
     next_row = F.struct(*[F.col(c).alias(o) for o, c in following.items()] or [F.lit(0).alias("_")])
     rank = F.struct(*order_cols)
-    edges = bucketed.groupBy(*keys, "_b").agg(F.max_by(prev_row, rank).alias("_last"),
-                                              F.min_by(next_row, rank).alias("_first"))
+    edges = ranged.groupBy(*keys, "_b").agg(F.max_by(prev_row, rank).alias("_last"),
+                                            F.min_by(next_row, rank).alias("_first"))
     across = W.partitionBy(*keys).orderBy("_b")
     carried = edges.select(*keys, "_b", F.lag("_last").over(across).alias("_carry_p"),
                            F.lead("_first").over(across).alias("_carry_n"))
-    local = (bucketed.withColumn("_p", F.lag(prev_row).over(inner)).withColumn("_n", F.lead(next_row).over(inner)))
+    local = (ranged.withColumn("_p", F.lag(prev_row).over(inner)).withColumn("_n", F.lead(next_row).over(inner)))
     joined = null_safe_join(local, carried, [*keys, "_b"])
     return joined.select(*df.columns,
                          *[F.coalesce(F.col("_p"), F.col("_carry_p"))[o].alias(o) for o in previous],
@@ -41,16 +50,16 @@ def with_neighbours(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str
 
 def sequence_events(df: DataFrame, entity: str, date: str, tie_break: Sequence[str] = (),
                     number: str = "event_number", following: str = "next_date") -> DataFrame:
-    """Number an entity's rows by date and add the next row's date."""
-    daily = df.groupBy(entity, date).agg(F.count(F.lit(1)).alias("_n"))
-    w = W.partitionBy(entity).orderBy(date)
-    offsets = daily.select(
-        entity, date, "_n", F.lead(date).over(w).alias("_next"),
-        (F.sum("_n").over(w.rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("_n")).alias("_before"))
-    within = W.partitionBy(entity, date).orderBy(*(tie_break or [F.lit(1)]))
-    ranked = null_safe_join(df.withColumn("_r", F.row_number().over(within)), offsets, [entity, date])
-    return ranked.select(*df.columns, (F.col("_before") + F.col("_r")).alias(number),
-                         F.when(F.col("_r") < F.col("_n"), F.col(date)).otherwise(F.col("_next")).alias(following))
+    """Number an entity's rows by date and ``tie_break``, and add the next row's date."""
+    order = [date, *tie_break]
+    ranged = _ranges(df, [entity, *order])
+    parts = ranged.groupBy(entity, "_b").agg(F.count(F.lit(1)).alias("_n"), F.min(date).alias("_first"))
+    w = W.partitionBy(entity).orderBy("_b")
+    offsets = parts.select(entity, "_b", (F.sum("_n").over(w) - F.col("_n")).alias("_before"), F.lead("_first").over(w).alias("_next"))
+    within = W.partitionBy(entity, "_b").orderBy(*order)
+    local = ranged.withColumn("_r", F.row_number().over(within)).withColumn("_d", F.lead(date).over(within))
+    ranked = null_safe_join(local, offsets, [entity, "_b"])
+    return ranked.select(*df.columns, (F.col("_before") + F.col("_r")).alias(number), F.coalesce("_d", "_next").alias(following))
 
 
 def cumulative_by(df: DataFrame, entity: str, date: str, value: str, acquired: str = "acq_date",
@@ -92,11 +101,16 @@ def activity_within(starts: DataFrame, facts: DataFrame, keys: Sequence[str], st
     """Distinct ``count_of`` and summed ``amount`` of the facts in (start, start + days] per start row."""
     right = facts.select(*[F.col(k).alias(f"_f_{k}") for k in keys], F.col(fact_date).alias("_day"),
                          F.col(count_of).alias("_id"), F.col(amount).alias("_amount"))
-    hit = [F.col(k) == F.col(f"_f_{k}") for k in keys]
+    # a window of n days touches two blocks of n days: the block is part of the key, so a hot key is cut along time
+    block = lambda d: F.floor(F.unix_date(F.to_date(d)) / days)
+    right = right.withColumn("_block", block(F.col("_day")))
+    left = starts.withColumn("_s_block", F.explode(F.array_distinct(F.array(block(F.date_add(F.col(start), 1)), block(F.date_add(F.col(start), days))))))
+    hit = [F.col(k) == F.col(f"_f_{k}") for k in keys] + [F.col("_s_block") == F.col("_block")]
     hit += [F.col("_day") > F.col(start), F.col("_day") <= F.date_add(F.col(start), days)]
-    joined = starts.join(right, hit, "left")
-    return joined.groupBy(*starts.columns).agg(F.countDistinct("_id").alias(count_as),
-                                               F.coalesce(F.sum("_amount"), F.lit(0.0)).alias(amount_as))
+    # inner, so that either side of a hot key can be split; starts without a fact come back afterwards
+    found = left.join(right, hit).groupBy(*starts.columns).agg(F.countDistinct("_id").alias(count_as), F.sum("_amount").alias(amount_as))
+    out = null_safe_join(starts.distinct(), found, starts.columns)
+    return out.withColumns({count_as: F.coalesce(count_as, F.lit(0)), amount_as: F.coalesce(amount_as, F.lit(0.0))})
 
 
 def first_touch_funnel(events: DataFrame, user: str, event: str, time: str, event_id: str, first: str, then: str,
