@@ -11,13 +11,15 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..sources.writers import materialise
 
-# Fixed value: a word.
-WORD = r"[^\x20\x09-\x0D]+"
+# White space, and a word with the white space behind it.
+WHITE = " \t\n\x0b\f\r"
+WORD = r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"
 _BEFORE = (W.unboundedPreceding, -1)
 
 
 def word_count(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
+    """Words of a text: each is replaced by one letter, which makes no list of words."""
+    return F.coalesce(F.length(F.regexp_replace(F.ltrim(text, F.lit(WHITE)), WORD, "x")).cast("long"), F.lit(0).cast("long"))
 
 
 def _source_key(source: Column) -> Column:
@@ -99,9 +101,9 @@ def prefix_sums(rows: DataFrame, group: str, key: str, value: str, out: str, tie
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), times: int = 3, block_words: int = 16, shards: int = 8, seed: str = "mix-1",
-        id_col: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+        id_col: str = "doc_id", text: str = "text", source: str = "source", keep: Sequence[str] = ()) -> DataFrame:
     """Per row of ``docs``: doc_id, source, ``size`` (words), ``source_size``, ``target`` (its source's), ``taken`` (words the mix takes,
-    repeats counted) and ``shard_words`` (the same by output shard).
+    repeats counted) and ``shard_words`` (the same by output shard), and the columns ``keep``.
 
     A source's documents, ordered by a seeded hash of their id, are one stream that is cut into blocks of ``block_words`` words and starts anew at its
     end; each shard takes its quota of blocks from where the last one stopped. A source never gives more than ``times`` its size,
@@ -111,7 +113,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), times: int = 3, blo
     equal ids are ordered by size and are taken one by one; an empty table gives no rows. Other columns are not read.
     """
     key = F.md5(F.concat(F.lit(f"{seed}/"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("binary"))
-    rows = materialise(docs.select(F.col(id_col).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), key.alias("hash")))
+    rows = materialise(docs.select(F.col(id_col).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
+                                   key.alias("hash"), *keep))
     rows = rows.withColumn("key", _source_key(F.col("source")))
     sources = targets(rows.groupBy("key").agg(F.sum("size").alias("source_size")), weights, times)
     quotas = shard_quotas(sources, block_words, shards)
@@ -129,7 +132,30 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), times: int = 3, blo
     ends = F.when(F.col("source_size") > 0, F.transform("ends", words_in_first)).otherwise(F.transform("ends", lambda _: F.lit(0).cast("long")))
     rows = rows.withColumn("_upto", ends)
     by_shard = F.transform("_upto", lambda x, i: x - F.when(i > 0, F.get("_upto", i - 1)).otherwise(F.lit(0).cast("long")))
-    return rows.select("doc_id", "source", "size", "source_size", "target", F.element_at("_upto", -1).alias("taken"), by_shard.alias("shard_words"))
+    return rows.select("doc_id", "source", "size", "source_size", "target", F.element_at("_upto", -1).alias("taken"), by_shard.alias("shard_words"),
+                       *keep)
+
+
+def apply_mix(docs: DataFrame, **options) -> DataFrame:
+    """The rows of the mix with the columns of ``docs``: a document as often as it is taken whole, and once more with its first words if a part is taken.
+
+    Documents that the mix does not take are gone. Rows that agree in id, source and text are one row here, taken as often as all of
+    them; of their other columns the smallest values stay.
+    """
+    version, names = F.xxhash64(F.col("text")).alias("_version"), docs.columns
+    rest = [c for c in names if c not in ("doc_id", "source", "text")]
+    taken = mix(docs.withColumn("_version", version), keep=["_version"], **options).filter("taken > 0")
+    taken = taken.groupBy("doc_id", "source", "_version").agg(F.sum("taken").alias("_taken"), F.first("size").alias("_size"))
+    taken = taken.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("_version").alias("_v"), "_taken", "_size")
+    unique = docs.withColumn("_version", version).groupBy("doc_id", "source", "_version").agg(
+        F.min("text").alias("text"), F.min(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("_rest") if rest else F.lit(None).alias("_rest"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_version") == F.col("_v"))
+    rows = unique.join(taken, same).withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(_taken + _size - 1) div _size - 1"))))
+    left = F.col("_taken") - F.col("_part") * F.col("_size")
+    words = F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
+    text = F.when(left >= F.col("_size"), F.col("text")).otherwise(F.array_join(F.slice(words, F.lit(1), left.cast("int")), ""))
+    rows = rows.withColumn("text", text)
+    return rows.select(*[F.col(c) if c in ("doc_id", "source", "text") else F.col("_rest")[c].alias(c) for c in names])
 
 
 ORACLE = r"""
