@@ -143,16 +143,19 @@ def _(s):
     return web.consultations_created(s)
 
 
-@query("JB9_cost_per_completion", f"""select g.utm_campaign, g.utm_source, g.date, g.completions, v.page_visits, sum(coalesce(b.spend, k.cost_micros / 1e6) / f.fx_to_usd) as spend_usd,
- sum(coalesce(b.ctr * b.impressions / 100, k.clicks)) as clicks from (
- select regexp_replace(split_part(e.utm_campaign, ',', 1), '_[0-9]+$', '') as utm_campaign, {ladder('e.utm_source', FUNNEL_SOURCES)} as utm_source, t.ts::date as date,
-  count(distinct e.message_id) as completions from t_eval_step e left join t_tracks t using (message_id) group by 1, 2, 3) g
- left join (select ts::date as date, {ladder('context_campaign_source', FUNNEL_SOURCES)} as utm_source, count(message_id) as page_visits from t_page_event group by 1, 2) v
-  on v.utm_source = g.utm_source and v.date = g.date
- left join t_fb_campaign_daily b on b.campaign_name = g.utm_campaign and b.date = g.date left join h_fb_account fa on fa.id = b.account_id
- left join (select distinct id, name from t_google_campaign) n on n.name = g.utm_campaign left join t_google_stats k on k.id = n.id and k.date = g.date
- left join h_ga_account ga on ga.id = k.customer_id left join t_fx f on f.currency = lower(coalesce(fa.currency, ga.currency_code)) group by 1, 2, 3, 4, 5""",
-       dates="date", r2="spend_usd clicks")
+@query("JB9_cost_per_completion", f"""with step as (select message_id, {ladder('utm_source', FUNNEL_SOURCES)} as utm_source,
+  regexp_replace(string_split(utm_campaign, ',')[1], '_[0-9]+$', '') as utm_campaign from t_eval_step),
+ done as (select utm_campaign, utm_source, (select t.ts::date from t_tracks t where t.message_id = step.message_id) as date, count(distinct message_id) as completions
+  from step group by all),
+ visit as (select {ladder('context_campaign_source', FUNNEL_SOURCES)} as utm_source, ts::date as date, count(message_id) as page_visits from t_page_event group by all),
+ first_ad as (select campaign_name as name, date, count(*) as n, sum(spend / fx_to_usd) as usd, sum(ctr * impressions) / 100 as clicks from t_fb_campaign_daily d
+  left join h_fb_account a on a.id = d.account_id left join t_fx on t_fx.currency = lower(a.currency) group by all),
+ other_ad as (select v.name, g.date, count(*) as n, sum(cost_micros / 1e6 / fx_to_usd) as usd, sum(clicks) as clicks from (select name, id from t_google_campaign group by all) v
+  join t_google_stats g on g.id = v.id left join h_ga_account a on a.id = g.customer_id left join t_fx on t_fx.currency = lower(a.currency_code) group by all)
+ select d.utm_campaign, d.utm_source, d.date, d.completions, v.page_visits,
+  case when f.n > 0 then f.usd * coalesce(o.n, 1) else o.usd end as spend_usd, case when f.n > 0 then f.clicks * coalesce(o.n, 1) else o.clicks end as clicks
+ from done d left join visit v using (utm_source, date) left join first_ad f on f.name = d.utm_campaign and f.date = d.date
+ left join other_ad o on o.name = d.utm_campaign and o.date = d.date""", dates="date", r2="spend_usd clicks")
 def _(s):
     return marketing.cost_per_completion(s)
 
@@ -278,10 +281,11 @@ def _(s):
     return payments.non_subscription_charges(s)
 
 
-@query("JB24_one_time_upgrade_rate", """select b.d is not null as subscribed, count(distinct a.customer_id) as n_customers, count(distinct a.customer_id) / sum(count(distinct a.customer_id)) over () as share
- from (select c.customer_id, min(c.created::date) as d from t_charge c left join t_invoice i on i.id = c.invoice_id where c.status = 'succeeded' and i.subscription_id is null group by 1) a
- left join (select c.customer_id, min(c.created::date) as d from t_charge c join t_invoice i on i.id = c.invoice_id where c.status = 'succeeded' and i.subscription_id is not null group by 1) b
- on b.customer_id = a.customer_id and b.d > a.d group by 1""", r6="share")
+@query("JB24_one_time_upgrade_rate", """with bought as (select customer_id, created::date as day,
+  exists (from t_invoice i where i.id = t_charge.invoice_id and i.subscription_id is not null) as member from t_charge where status = 'succeeded'),
+ firsts as (select customer_id, min(day) filter (where not member) as single, min(day) filter (where member) as joined from bought group by 1),
+ judged as (select customer_id, coalesce(joined > single, false) as subscribed from firsts where single is not null)
+ select subscribed, count(customer_id) as n_customers, count(customer_id) / (select count(customer_id) from judged) as share from judged group by 1""", r6="share")
 def _(s):
     return payments.one_time_upgrade_rate(s)
 
@@ -292,11 +296,14 @@ def _(s):
     return web.order_completions(s)
 
 
-@query("JB26_page_views_by_condition", """select v.date, v.region, v.condition, v.total_views, q.q4_views from (select p.ts::date as date, p.region, coalesce(d.condition, m.condition) as condition,
- count(distinct p.message_id) as total_views from t_page_event p left join h_product d on d.id = p.product_id left join t_condition_map m
- on m.raw_condition = regexp_extract(p.name, 'Health Profile - ([^-]+) -', 1) where coalesce(d.condition, m.condition) is not null group by 1, 2, 3) v
- left join (select t.ts::date as date, e.region, m.condition, count(distinct e.message_id) as q4_views from t_eval_step e join t_tracks t using (message_id)
- left join t_condition_map m on m.raw_condition = e.evaluation_type group by 1, 2, 3) q on q.date = v.date and q.region = v.region and q.condition = v.condition""", dates="date")
+@query("JB26_page_views_by_condition", """with seen as (select message_id, region, ts::date as date,
+  coalesce((select d.condition from h_product d where d.id = product_id),
+   (select k.condition from t_condition_map k where k.raw_condition = nullif(regexp_extract(name, 'Health Profile - ([^-]+) -', 1), ''))) as condition from t_page_event),
+ answered as (select t.ts::date as date, e.region, e.message_id, (select k.condition from t_condition_map k where k.raw_condition = e.evaluation_type) as condition
+  from t_tracks t join t_eval_step e using (message_id)),
+ counted as (select date, region, condition, count(distinct message_id) as q4_views from answered where condition is not null group by all)
+ select date, region, condition, count(distinct message_id) as total_views, any_value(q4_views) as q4_views from seen left join counted using (date, region, condition)
+ where condition is not null group by date, region, condition""", dates="date")
 def _(s):
     return web.page_views_by_condition(s)
 
@@ -314,13 +321,18 @@ def _(s):
     return payments.price_by_payment(s, now())
 
 
-@query("JB29_price_metadata_check", f"""select c.created::date as date, c.region, c.id as charge_id, c.description as charge_description, c.payment_intent_id,
- pi.description as payment_intent_description, a.product_name as product_from_pi_price_id, a.condition as condition_from_pi_price_id,
- b.product_name as product_from_pi_stripe_price_id, b.condition as condition_from_pi_stripe_price_id, c.currency, c.amount / coalesce(u.subunits, 100) as charge_amount_local
- from t_charge c join t_payment_intent pi on pi.id = c.payment_intent_id left join t_subunits u on u.currency = c.currency
- left join (select * from h_price where active) a on a.price_id = {scalar('pi.metadata', '$.paymentIntentPriceId')}
- left join (select * from h_price where active) b on b.price_id = {scalar('pi.metadata', '$.stripePriceIds')}
- where c.status = 'succeeded' and c.invoice_id is null and lower(coalesce(a.product_name, b.product_name)) like 'tele%'""", dates="date", r2="charge_amount_local")
+@query("JB29_price_metadata_check", f"""with named as (select price_id, product_name, condition from h_price where active),
+ loose as (select *, created::date as date from t_charge where invoice_id is null and status = 'succeeded'),
+ noted as (select id, description, unnest([{{'key': 'new', 'price': {scalar('metadata', '$.paymentIntentPriceId')}}},
+  {{'key': 'old', 'price': {scalar('metadata', '$.stripePriceIds')}}}]) as note from t_payment_intent),
+ resolved as (select n.id, n.description, max(p.product_name) filter (where n.note.key = 'new') as new_product, max(p.condition) filter (where n.note.key = 'new') as new_condition,
+  max(p.product_name) filter (where n.note.key = 'old') as old_product, max(p.condition) filter (where n.note.key = 'old') as old_condition
+  from noted n left join named p on p.price_id = n.note.price group by 1, 2)
+ select c.date, c.region, c.id as charge_id, c.description as charge_description, c.payment_intent_id, r.description as payment_intent_description,
+  r.new_product as product_from_pi_price_id, r.new_condition as condition_from_pi_price_id, r.old_product as product_from_pi_stripe_price_id,
+  r.old_condition as condition_from_pi_stripe_price_id, c.currency, c.amount / coalesce((select u.subunits from t_subunits u where u.currency = c.currency), 100)
+  as charge_amount_local from loose c join resolved r on r.id = c.payment_intent_id
+ where starts_with(lower(case when r.new_product is null then r.old_product else r.new_product end), 'tele')""", dates="date", r2="charge_amount_local")
 def _(s):
     return payments.price_metadata_check(s)
 
@@ -353,14 +365,18 @@ def _(s):
     return payments.rx_vs_otc(s, NOT_RX, OTC)
 
 
-@query("JB32_purchase_export", """select md5(trim(cu.id)) as id, cu.email, c.created as purchase_date, c.description as transaction_type, c.amount as purchase_amount,
- r.amount as refund_amount, p.name as product_name, x.id as price_id, coalesce(max(m.value) filter (where m.key = 'paymentIntentPriceId'),
- max(m.value) filter (where m.key = 'stripePriceIds')) as price_id_no_invoice, max(li.price_id) as invoice_price_id,
- string_agg(distinct pm.key || '=' || pm.value, ',' order by pm.key || '=' || pm.value) as price_metadata from t_charge c left join t_customer cu on cu.id = c.customer_id
- left join t_invoice i on i.id = c.invoice_id left join t_subscription_price sp on sp.subscription_id = i.subscription_id left join t_price x on x.id = sp.price_id
- left join t_product p on p.id = x.product_id left join t_price_metadata pm on pm.price_id = x.id left join t_invoice_line_item li on li.invoice_id = i.id
- left join t_intent_metadata m on m.payment_intent_id = c.payment_intent_id left join t_refund r on r.charge_id = c.id
- where c.status = 'succeeded' and c.created >= date '1999-01-01' group by c.id, cu.id, cu.email, c.created, c.description, c.amount, r.amount, p.name, x.id""",
+@query("JB32_purchase_export", """with note as (select payment_intent_id, map_from_entries(list((key, value))) as m from (select payment_intent_id, key, max(value) as value
+  from t_intent_metadata group by all) x group by 1),
+ billed as (select v.id, max(l.price_id) as line_price, any_value(v.subscription_id) as subscription_id from t_invoice v left join t_invoice_line_item l on l.invoice_id = v.id group by 1),
+ entry as (select price_id, string_agg(key || '=' || value, ',' order by key) as entries from (select price_id, key, max(value) as value from t_price_metadata group by all) x group by 1),
+ priced as (select s.subscription_id, x.id as price_id, (select p.name from t_product p where p.id = x.product_id) as product_name, e.entries from t_subscription_price s
+  join t_price x on x.id = s.price_id left join entry e on e.price_id = x.id),
+ back as (select charge_id, amount from t_refund group by all),
+ paid as (from t_charge where created >= date '1999-01-01' and status = 'succeeded')
+ select md5(trim(u.id)) as id, u.email, c.created as purchase_date, c.description as transaction_type, c.amount as purchase_amount, back.amount as refund_amount,
+  q.product_name, q.price_id, coalesce(n.m['paymentIntentPriceId'], n.m['stripePriceIds']) as price_id_no_invoice, b.line_price as invoice_price_id,
+  q.entries as price_metadata from paid c left join t_customer u on u.id = c.customer_id left join billed b on b.id = c.invoice_id
+ left join priced q on q.subscription_id = b.subscription_id left join note n on n.payment_intent_id = c.payment_intent_id left join back on back.charge_id = c.id""",
        stamps="purchase_date")
 def _(s):
     rows = payments.purchase_export(s, "1999-01-01")
