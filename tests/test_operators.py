@@ -219,13 +219,13 @@ def test_write_batches_exact_sizes(spark, hot, tmp_path):
 
 
 def test_score_rows_captures_errors(spark):
-    def fn(row):
-        if row["u"] == "bad":
+    def fn(batch):
+        if (batch["u"] == "bad").any():
             raise ValueError("no")
-        return {"label": row["u"].upper()}
-    df = spark.createDataFrame([(1, "x"), (1, "x"), (2, "bad"), (3, None), (4, "")], "i int, u string")
-    got = {r.i: (r.label, r.error) for r in score_rows(df, ["i", "u"], "u", fn, StructType([StructField("label", StringType())])).collect()}
-    assert got == {1: ("X", None), 2: (None, "no"), 3: (None, "missing input"), 4: (None, "missing input")}
+        return batch["u"].str.upper().to_frame("label")
+    df = spark.createDataFrame([(1, "x"), (1, "x"), (2, "bad"), (3, None), (4, ""), (5, "y")], "i int, u string")
+    got = {r.i: (r.label, r.error) for r in score_rows(df, "i", ["u"], "u", fn, StructType([StructField("label", StringType())])).collect()}
+    assert got == {1: ("X", None), 2: (None, "no"), 3: (None, "missing input"), 4: (None, "missing input"), 5: ("Y", None)}
 
 
 def test_churn_rates(spark):

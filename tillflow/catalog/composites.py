@@ -379,12 +379,12 @@ def _(s):
     return counts("signup", "n_created").join(counts("purchase", "n_scheduled"), ["date", "props"], "full_outer")
 
 
-def letter_share(row):
-    text = row["text"]
-    return {"letters": sum(ch.isalpha() for ch in text) / len(text)}
+def letter_share(batch):
+    letters = batch["text"].map(lambda t: sum(map(str.isalpha, t)) / len(t))
+    return letters.to_frame("letters")
 
 
 @query("UDF1_score_rows", r"""select doc_id, length(regexp_replace(text, '[^\p{L}]', '', 'g')) / length(text) as letters, null::varchar as error
  from documents""", r6="letters")
 def _(s):
-    return score_rows(s.base("documents"), ["doc_id", "text"], "text", letter_share, StructType([StructField("letters", DoubleType())])).drop("text")
+    return score_rows(s.base("documents"), "doc_id", ["text"], "text", letter_share, StructType([StructField("letters", DoubleType())]), unique=True).drop("text")

@@ -766,10 +766,10 @@ def _(s):
     return marketing.recent_creatives(s, AS_OF)
 
 
-def image_condition(row):
-    if row["image_url"].endswith("0"):
+def image_condition(batch):
+    if batch["image_url"].str.endswith("0").any():
         raise ValueError("unreadable image")
-    return {"condition": "hair" if "1" in row["image_url"] else "other"}
+    return batch["image_url"].str.contains("1").map({True: "hair", False: "other"}).to_frame("condition")
 
 
 @query("JB78_classified_creatives", """select creative_id, image_url, case when image_url is null or image_url like '%0' then null when contains(image_url, '1') then 'hair' else 'other' end as condition,

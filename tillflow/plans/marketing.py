@@ -353,4 +353,4 @@ def recent_creatives(t: Tables, as_of, months: int = 3) -> DataFrame:
 
 def classify_creatives(creatives: DataFrame, fn, schema) -> DataFrame:
     """Run a caller's model over distinct creatives (columns creative_id and image_url)."""
-    return score_rows(creatives, ["creative_id", "image_url"], "image_url", fn, schema, "No image_url")
+    return score_rows(creatives, "creative_id", ["image_url"], "image_url", fn, schema, "No image_url")

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import PAGE_MEDIUMS, PAGE_SOURCES, map_channel, parse_datetime, regex_group
 from ..functions.scalars import json_scalar
 from ..operators.dedup import latest_per_key
-from ..operators.joins import with_group_value
 from ..operators.json_fields import flatten_json
 from ..operators.metrics import merge_metrics
 from ..operators.sequence import daily_counts, first_touch_funnel
@@ -171,8 +170,10 @@ def refresh_tasks(t: Tables) -> DataFrame:
 
 def order_prescriptions(t: Tables, short_ids: DataFrame) -> DataFrame:
     """Listed orders with a first-order flag and the price's JSON attributes. ``short_ids`` is a one-column frame."""
-    orders = with_group_value(t["app_order"], ["patient_id"], first_created=F.min("created_at"))
-    listed = orders.filter("patient_id is not null").join(short_ids.distinct(), "short_id", "left_semi")
+    listed = t["app_order"].filter("patient_id is not null").join(short_ids.distinct(), "short_id", "left_semi")
+    # first orders of the listed patients only
+    theirs = t["app_order"].join(listed.select("patient_id").distinct(), "patient_id", "left_semi")
+    listed = listed.join(theirs.groupBy("patient_id").agg(F.min("created_at").alias("first_created")), "patient_id")
     sheet = t["price_sheet"].select(F.col("price_id").alias("prescription_price_id"), "product_name",
                                     *[json_scalar("price_metadata", f"$.{k}").alias(k) for k in ("frequency", "dosage", "boxes")])
     patient = t["patient"].select(F.col("sys_id").cast("string").alias("patient_id"), "email")
