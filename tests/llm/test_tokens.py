@@ -80,7 +80,7 @@ def test_token_id_files(spark, cases, tmp_path):
 
 
 def test_word_encoder_is_the_library(real):
-    library, encode = Tokenizer.from_file(WORDS), orc_ids.WordEncoder(WORDS)
+    library, encode = Tokenizer.from_file(WORDS), orc_ids.WordEncoder(WORDS, 2)
     words = sorted({w for _, t in real for w in t.encode().split()})
     words += [x.encode() for x in ("ÀÉÎ,", "straße.", "A.,.", "ÿ", "it's", "a.b", "İ", "×", "ª", "don't.", "<|endoftext|>", "x<|startoftext|>", "e\u0301t", "1a")]
     assert encode(words) == [library.encode(w.decode(), add_special_tokens=False).ids for w in words]

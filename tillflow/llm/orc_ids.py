@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import re
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
@@ -11,42 +13,80 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from ..sources.writers import scratch_path
-from .pieces import PieceTable, library_tokenizer, list_column, slices
+from .pieces import BYTE_ALPHABET, PieceTable, library_tokenizer, slices
 
 # The writer's settings. Integers get run-length encoding by the format itself.
 ORC_OPTIONS = {"orc.create.index": "true", "orc.row.index.stride": "1000", "orc.stripe.size": str(16 << 20),
                "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "compression": "zstd"}
 
 
-@lru_cache(maxsize=2)
-def _table(path: str) -> PieceTable:
+# what stands for the end of a document among its stretches, none of which is empty
+_END = b""
+_PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,]*)").fullmatch
+
+
+class WordEncoder:
     """Ids of stretches between ASCII white space, by the library.
 
-    The tokenizer drops white space and cuts at it, so a stretch has the same ids alone as in its text.
+    The tokenizer drops white space and cuts at it, so a stretch has the same ids alone as in its text. For most stretches, Latin-1 letters and then full
+    stops or commas, its normalizer only lower-cases and its cutter gives the two parts; the library's merges are called on these directly.
+    All other stretches go through the whole tokenizer, many as one text; the places of the ids tell whose they are.
     """
-    tokenizer = library_tokenizer(path)
-
-    def encode(words: list[bytes], part: int = 200) -> Iterator[list[int]]:
-        # new stretches go to the library as one text; the places of the ids tell whose they are
-        for at in range(0, len(words), part):
-            texts = [w.decode() for w in words[at:at + part]]
-            found = tokenizer.encode(" ".join(texts), add_special_tokens=False)
-            starts = np.cumsum([0] + [len(t) + 1 for t in texts])
-            cuts = np.searchsorted([a for a, _ in found.offsets], starts)
+
+    def __init__(self, path: str, end_id: int):
+        self.tokenizer, self.end_id = library_tokenizer(path), end_id
+        self.merge = self.tokenizer.model.tokenize
+        self.latin = {c: "".join(BYTE_ALPHABET[b] for b in chr(c).lower().encode()) for c in [*range(65, 91), *range(192, 256)]}
+        self.ends: dict[str, list[int]] = {"": []}
+
+    def __call__(self, words: Sequence[bytes], part: int = 100) -> list[list[int]]:
+        out: list = [None] * len(words)
+        rest: list[tuple[int, str]] = []
+        for i, raw in enumerate(words):
+            if raw.isalpha():  # ASCII letters only
+                out[i] = [t.id for t in self.merge(raw.lower().decode())]
+                continue
+            if raw == _END:
+                out[i] = [self.end_id]
+                continue
+            word = raw.decode("utf-8", "replace")
+            plain = _PLAIN(word)
+            if plain is None:
+                rest.append((i, word))
+                continue
+            letters, end = plain.groups()
+            out[i] = [t.id for t in self.merge(letters.translate(self.latin))]
+            if end:
+                if end not in self.ends:
+                    self.ends[end] = [t.id for t in self.merge(end)]
+                out[i] += self.ends[end]
+        for at in range(0, len(rest), part):
+            texts = [w for _, w in rest[at:at + part]]
+            found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+            cuts = np.searchsorted([a for a, _ in found.offsets], np.cumsum([0] + [len(t) + 1 for t in texts]))
             ids = found.ids
-            yield from (ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True))
-    return PieceTable(encode)
+            for (i, _), a, b in zip(rest[at:at + part], cuts, cuts[1:], strict=False):
+                out[i] = ids[a:b]
+        return out
+
+
+@lru_cache(maxsize=2)
+def _table(path: str, end_id: int) -> PieceTable:
+    """One table per worker, file and end id. Its many small objects hold no cycles, so they are kept from the garbage collector."""
+    gc.freeze()
+    gc.set_threshold(200_000, 100, 100)
+    return PieceTable(WordEncoder(path, end_id), limit=1_400_000)
 
 
 def _encoded(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, row, end = _table(path), 0, np.array([end_id], np.uint32)
-        for batch in slices(batches, 256):
-            ids = [np.concatenate([table.ids((t or "").encode().split()), end]) for t in batch.column(1).to_pylist()]
+        table, row = _table(path, end_id), 0
+        for batch in slices(batches, 64):
+            flat, cuts = table.flat_ids([[*(t or "").encode().split(), _END] for t in batch.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.arange(row, row + len(ids))), pa.array([len(x) for x in ids], pa.int64()), list_column(ids, pa.int32())],
-                ["doc_id", "row", "n_tokens", "ids"])
-            row += len(ids)
+                [batch.column(0), pa.array(np.arange(row, row + batch.num_rows)), pa.array(np.diff(cuts)),
+                 pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(flat.view(np.int32)))], ["doc_id", "row", "n_tokens", "ids"])
+            row += batch.num_rows
     return run
 
 
@@ -78,7 +118,8 @@ def document_offsets(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.orc(path).select("doc_id", "row", "n_tokens", F.col("_metadata.file_name").alias("file"))
     files = rows.groupBy("file").agg(F.sum("n_tokens").alias("n"))
     # part files are numbered by range
-    before = F.coalesce(F.sum("n").over(W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    order = W.orderBy(F.regexp_extract("file", r"part-(\d+)", 1).cast("int"))
+    before = F.coalesce(F.sum("n").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     files = files.select("file", before.alias("_before"))
     inside = F.coalesce(F.sum("n_tokens").over(W.partitionBy("file").orderBy("row").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     rows = rows.withColumn("_inside", inside)

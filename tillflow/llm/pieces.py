@@ -80,8 +80,8 @@ class PieceTable:
         self.filled += len(found)
         self.used += len(values)
 
-    def ids(self, lists: Sequence[Sequence]) -> list[np.ndarray]:
-        """For each list of pieces their ids, one after the other, as unsigned 32-bit integers."""
+    def flat_ids(self, lists: Sequence[Sequence]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all lists of pieces one after the other, as unsigned 32-bit integers, and where each list begins and ends."""
         if len(self.slot) > self.limit:
             self._clear()
         sizes = [len(pieces) for pieces in lists]
@@ -91,7 +91,11 @@ class PieceTable:
         lengths = self.length[slots]
         ends = np.cumsum(lengths)
         flat = self.flat[np.repeat(self.start[slots] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
-        cuts = np.concatenate([[0], ends])[np.cumsum([0, *sizes])]
+        return flat, np.concatenate([[0], ends])[np.cumsum([0, *sizes])]
+
+    def ids(self, lists: Sequence[Sequence]) -> list[np.ndarray]:
+        """The ids of each list of pieces."""
+        flat, cuts = self.flat_ids(lists)
         return [flat[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
