@@ -151,7 +151,8 @@ def dedup_lines(docs: DataFrame, least_chars: int = 40, documents: int = 5, batc
     """
     gone = materialise(repeated_lines(docs, least_chars, documents, batches, id_col, text)).withColumnsRenamed({"id": "_id", "gone": "_gone"})
     names = docs.columns
-    joined = docs.withColumn("_key", F.coalesce(F.col(id_col), F.lit(_NULL)).cast("long")).join(gone, F.col("_key") == F.col("_id"), "left")
+    # a merge join at every size: the texts are shuffled once, in proportion to the input
+    joined = docs.withColumn("_key", F.coalesce(F.col(id_col), F.lit(_NULL)).cast("long")).join(gone.hint("merge"), F.col("_key") == F.col("_id"), "left")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", _n_lines long, _n_dropped long"
     return joined.select(*[f"`{c}`" for c in names], "_gone").mapInArrow(_drop(least_chars, names, names.index(text)), schema)
 
