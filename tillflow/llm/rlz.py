@@ -161,24 +161,25 @@ def parse(docs: DataFrame, window: int = 50, gram: int = 8, id_col: str = "doc_i
     that can occur twice are entered: a window's anchor, its lowest word-gram hash, is counted over all documents first (about one row per 22 words), and
     windows whose anchor stands in one document alone are left out. Documents with equal texts are entered once, by the smallest id; the others
     are one factor of it. The smallest holder of a window comes from an aggregate that combines before the shuffle and is joined back by a join
-    that can be split, so a passage in very many documents loads no single task.
+    that can be split, so a passage in very many documents loads no single task. Joins are merge joins at every size, so what is shuffled grows
+    in proportion to the input.
 
     Null ids count as smaller than any other and as one document; rows with equal ids are one document's, and never refer to each other.
     """
     rows = _rows(docs, id_col, text).filter("text is not null")
     prints = materialise(rows.select("id", "version", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2")))
     least = prints.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first <> last").drop("last")
-    copied = materialise(prints.join(materialise(least), ["h1", "h2"]).filter("id <> first").select(*_ROW, "first").distinct())
+    copied = materialise(prints.join(materialise(least).hint("merge"), ["h1", "h2"]).filter("id <> first").select(*_ROW, "first").distinct())
 
     found = rows.mapInArrow(_anchor_rows(window, gram), "id long, version int, anchor long")
-    found = materialise(found.join(copied.select(*_ROW), _ROW, "left_anti"))
+    found = materialise(found.join(copied.select(*_ROW).hint("merge"), _ROW, "left_anti"))
     shared = materialise(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"))
-    wanted = materialise(found.join(shared, "anchor").groupBy(*_ROW).agg(F.collect_set("anchor").alias("anchors")))
-    windows = rows.join(wanted, _ROW).select(*_ROW, "text", "anchors")
+    wanted = materialise(found.join(shared.hint("merge"), "anchor").groupBy(*_ROW).agg(F.collect_set("anchor").alias("anchors")))
+    windows = rows.join(wanted.hint("merge"), _ROW).select(*_ROW, "text", "anchors")
     windows = materialise(windows.mapInArrow(_window_rows(window, gram), "low long, high long, id long, version int, place int"))
     index = windows.groupBy("low", "high").agg(F.min(F.struct("id", "place")).alias("holder"), F.max("id").alias("last"))
     index = materialise(index.filter("last > holder.id").select("low", "high", "holder"))
-    held = windows.join(index, ["low", "high"]).filter("id > holder.id")
+    held = windows.join(index.hint("merge"), ["low", "high"]).filter("id > holder.id")
     held = held.groupBy(*_ROW).agg(F.collect_set(F.struct("place", F.col("holder.id").alias("block"), F.col("holder.place").alias("block_place"))).alias("held"))
     parsed = held.mapInArrow(_factor_rows(window), f"id long, version int, factors {_FACTORS}")
     whole = F.array(F.struct(F.lit(0).alias("start"), F.lit((1 << 31) - 1).alias("words"), F.col("first").alias("reference"), F.lit(0).alias("reference_start")))
@@ -214,6 +215,6 @@ def remove_repeats(docs: DataFrame, window: int = 50, gram: int = 8, id_col: str
     spans = materialise(parse(docs, window, gram, id_col, text)).withColumnsRenamed({"id": "_id", "version": "_version", "factors": "_factors"})
     names = docs.columns
     same = (F.coalesce(F.col(id_col), F.lit(_NULL)).cast("long") == F.col("_id")) & (F.hash(F.col(text)) == F.col("_version"))
-    joined = docs.join(spans, same, "left")
+    joined = docs.join(spans.hint("merge"), same, "left")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", _n_words long, _n_removed long"
     return joined.select(*[f"`{c}`" for c in names], "_factors").mapInArrow(_without(window, names, names.index(text)), schema)
