@@ -139,4 +139,5 @@ def keep_one(docs: DataFrame, shingle: int = 4, most_bits: int = 4) -> DataFrame
     """
     found = near_duplicates(docs, shingle, most_bits)
     gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    # a merge join at every size: the texts are shuffled once, in proportion to the input
+    return docs.join(gone.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
