@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..functions import FUNNEL_SOURCES, PAGE_MEDIUMS, PAGE_SOURCES
+from ..functions import FUNNEL_SOURCES, PAGE_MEDIUMS, PAGE_SOURCES, safe_divide
 from ..operators.ranges import asof_range_join
 from ..plans import finance, lifecycle, marketing, payments, web
 from ..sources.regions import region_union
@@ -666,6 +666,16 @@ def _(s):
     return marketing.monthly_cac(monthly(s), spend(s), AS_OF)
 
 
+@query("JB79_cac_by_condition", """with paid as (select date_trunc('month', date)::date as date, lower(country_code) as country, coalesce(condition, 'N/A') as condition,
+  round(sum(cost_usd), 0) as spent from h_spend where country_code is not null group by all),
+ won as (select date, country, condition, count(distinct customer_id) filter (where new_existing = 'New') as n from h_monthly where country is not null group by all)
+ select date, country, condition, coalesce(spent, 0) as marketing_spend, coalesce(n, 0) as n_new_customers, coalesce(spent, 0) / nullif(n, 0) as cac
+ from paid full outer join won using (date, country, condition) where date >= date '2000-06-01' and date < date '2001-06-01'""", dates="date", r0="marketing_spend", r4="cac")
+def _(s):
+    rows = marketing.monthly_cac(monthly(s), spend(s), AS_OF, by_condition=True)
+    return rows.withColumn("cac", safe_divide("marketing_spend", "n_new_customers"))
+
+
 @query("JB71_platform_spend", """select 'google_ads' as channel, s.date, k.name as campaign_name, a.currency_code, sum(s.cost_micros) / 1000000 as cost_local from t_google_stats s
  left join h_ga_campaign k on k.id = s.id left join h_ga_account a on a.id = s.customer_id group by 2, 3, 4 union all
  select 'facebook_ads', s.date, s.campaign_name, a.currency, sum(s.spend) from t_fb_levels s left join h_fb_account a on a.id = s.account_id

@@ -314,13 +314,16 @@ def roas_monthly(hub: DataFrame, spend: DataFrame) -> DataFrame:
                     F.coalesce("n_new_customers", F.lit(0)).alias("n_new_customers"), "first_purchase_revenue"))
 
 
-def monthly_cac(monthly: DataFrame, spend: DataFrame, as_of, months: int = 12) -> DataFrame:
-    """Month x country: rounded spend and distinct new customers over the trailing full months."""
-    ads = (spend.filter("country_code is not null").groupBy(month_start("date").alias("date"), F.lower("country_code").alias("country"))
-           .agg(F.round(F.sum("cost_usd"), 0).alias("marketing_spend")))
-    new = (monthly.filter(F.col("country").isNotNull()).groupBy("date", "country")
+def monthly_cac(monthly: DataFrame, spend: DataFrame, as_of, months: int = 12, by_condition: bool = False) -> DataFrame:
+    """Month x country (x condition): rounded spend and distinct new customers over the trailing full months."""
+    keys = ["date", "country", *["condition"][:by_condition]]
+    ads = (spend.filter("country_code is not null")
+           .select(month_start("date").alias("date"), F.lower("country_code").alias("country"),
+                   F.coalesce("condition", F.lit("N/A")).alias("condition"), "cost_usd")
+           .groupBy(*keys).agg(F.round(F.sum("cost_usd"), 0).alias("marketing_spend")))
+    new = (monthly.filter(F.col("country").isNotNull()).groupBy(*keys)
            .agg(F.countDistinct(F.when(F.col("new_existing") == "New", F.col("customer_id"))).alias("n_new_customers")))
-    merged = merge_metrics(["date", "country"], [ads, new])
+    merged = merge_metrics(keys, [ads, new])
     return merged.filter(trailing_months("date", as_of, months))
 
 
