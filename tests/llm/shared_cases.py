@@ -1,5 +1,6 @@
 """Tables that the tests of the training-data operators share."""
 
+import pytest
 from pyspark.sql import types as T
 
 SF = "/root/testdata/sf0.001"
@@ -7,6 +8,12 @@ DOCUMENTS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("
                           T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())])
 
 
+@pytest.fixture(scope="session")
+def real(spark):
+    """The whole smallest table of documents, as rows ordered by doc_id."""
+    return sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
+
+
 def documents(spark, rows):
     """Rows of (doc_id, text[, lang, source]) as a table of documents with more columns whose names operators use inside."""
     full = [(r[0], r[1], r[2] if len(r) > 2 else "en", r[3] if len(r) > 3 else "s", len(r[1] or "")) for r in rows]

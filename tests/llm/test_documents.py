@@ -6,7 +6,7 @@ import random
 import duckdb
 import numpy as np
 import pytest
-from conftest_llm import EDGES, SF, documents
+from shared_cases import EDGES, SF, documents, real  # noqa: F401
 
 from tillflow.llm import catalog, mixing, prefix_hash, quality
 from tillflow.llm.prefix_hash import Fingerprint, PrefixHashes, Spliced

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
-from conftest_llm import EDGES, SF, documents
+from shared_cases import EDGES, SF, documents, real  # noqa: F401
 from pyspark.sql import functions as F
 
 from tillflow.llm import simhash, sphere_filters

@@ -8,7 +8,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
-from conftest_llm import EDGES, SF, documents
+from shared_cases import EDGES, SF, documents
 from test_pairs import plain_print, reach
 from test_repeats import brute_lines
 

@@ -6,7 +6,7 @@ import random
 import duckdb
 import numpy as np
 import pytest
-from conftest_llm import EDGES, documents
+from shared_cases import EDGES, documents, real  # noqa: F401
 
 from tillflow.llm import line_runs, rlz
 

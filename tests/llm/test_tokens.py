@@ -6,7 +6,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
-from conftest_llm import EDGES, documents
+from shared_cases import EDGES, documents, real  # noqa: F401
 from tokenizers import Tokenizer
 
 from tillflow.llm import bpe_transducer, orc_ids, token_counts
