@@ -618,7 +618,7 @@ def _(s):
     tax = finance.tax_rate_history(s)
     found = asof_range_join(s["charge"].withColumn("day", F.to_date("created")), tax.withColumn("range_from", c("from_date")), {"region": "region"}, "day", how="inner")
     counts = found.groupBy("region", c("range_from").alias("from_date")).agg(F.count("*").alias("n_charges"))
-    return tax.join(counts, ["region", "from_date"], "left").withColumn("n_charges", F.coalesce("n_charges", F.lit(0)))
+    return tax.join(counts, ["region", "from_date"], "left").withColumn("n_charges", F.coalesce("n_charges", F.lit(0))).orderBy("region", "from_date")
 
 
 @query("JB66_marketplace_costs", """select 'lazada' as shop, seller_sku as sku, product_name, cogs, packaging, a as from_date, b as to_date from h_lazada

@@ -182,7 +182,7 @@ def recent_payment_intents(t: Tables, as_of: Column, hours: int = 24) -> DataFra
 
 
 def customer_purchase_history(t: Tables) -> DataFrame:
-    """Purchases per customer in date order with number and next date."""
+    """Purchases per customer in date order with number and next date, sorted by customer and date."""
     invoices = (t["invoice"].filter(F.col("billing_reason").isin("subscription_create", "subscription_cycle"))
                 .select("customer_id", F.to_date("created").alias("purchase_date"),
                         F.col("billing_reason").alias("kind")).distinct())
@@ -190,7 +190,8 @@ def customer_purchase_history(t: Tables) -> DataFrame:
               .select("customer_id", F.to_date("created").alias("purchase_date"), F.lit("one_time").alias("kind")).distinct())
     numbered = sequence_events(invoices.unionByName(single), "customer_id", "purchase_date", ["kind"],
                                "purchase_number", "next_purchase_date")
-    return numbered.select("customer_id", "purchase_number", "purchase_date", "next_purchase_date")
+    shown = numbered.select("customer_id", "purchase_number", "purchase_date", "next_purchase_date")
+    return shown.orderBy("customer_id", "purchase_date", "purchase_number")
 
 
 def monthly_charges(t: Tables) -> DataFrame:
@@ -301,7 +302,7 @@ def rx_vs_otc(t: Tables, not_rx: Sequence[str], otc: Sequence[str]) -> DataFrame
     counts = (rx.join(otc_regions, "customer_id", "left")
                 .groupBy("region", F.col("n").isNotNull().alias("has_otc"))
                 .agg(F.sum(F.coalesce("n", F.lit(1))).alias("n_customers")))
-    return share_of_groups(counts, "n_customers", ["region"], "share_of_region", 2)
+    return share_of_groups(counts, "n_customers", ["region"], "share_of_region", 2).orderBy("region", F.col("has_otc").desc())
 
 
 def purchase_export(t: Tables, since: str) -> DataFrame:

@@ -121,7 +121,7 @@ def upgrade_intent(t: Tables) -> DataFrame:
         F.countDistinct(F.when(F.col("name") == plans, F.col("user_id"))).alias("n_upgrades"))
     new = (t["subscription_history"].filter(F.col("status") == "active")
            .groupBy(F.to_date("created").alias("date"), "region").agg(F.countDistinct("customer_id").alias("n_new_customers")))
-    return merge_metrics(["date", "region"], [visits, new])
+    return merge_metrics(["date", "region"], [visits, new]).orderBy("region", F.col("date").desc())
 
 
 # --- application --------------------------------------------------------------------------------------------------------
