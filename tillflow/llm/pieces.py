@@ -57,9 +57,9 @@ class PieceTable:
 
     def __init__(self, encode: Callable[[Sequence], Iterable[Sequence[int]]], limit: int = 1_000_000):
         self.encode, self.limit = encode, limit
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
         self.slot = _Slots()
         self.slot.new = []
         self.filled, self.used = 0, 0
@@ -83,7 +83,7 @@ class PieceTable:
     def flat_ids(self, lists: Sequence[Sequence]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all lists of pieces one after the other, as unsigned 32-bit integers, and where each list begins and ends."""
         if len(self.slot) > self.limit:
-            self._clear()
+            self.clear()
         sizes = [len(pieces) for pieces in lists]
         slots = np.fromiter(map(self.slot.__getitem__, chain.from_iterable(lists)), np.int64, sum(sizes))
         if self.slot.new:
