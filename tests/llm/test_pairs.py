@@ -73,6 +73,19 @@ def test_simhash_edges(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [0, 40] and kept.columns == docs.columns
 
 
+def test_keep_one_judges_by_row(spark):
+    texts = ["one text here for all of them", "a second text about something else", "and the third is about neither of these", "the last words stand alone"]
+    rows = [(3, texts[0]), (8, texts[1]), (8, texts[0]), (None, texts[0]), (None, texts[2]), (None, None), (9, texts[3]), (9, texts[3]), (12, texts[3]), (12, " ")]
+    group = {}
+    for i, t in rows:
+        group.setdefault(plain_print(t), []).append(i)
+    least = {p: min((i for i in ids if i is not None), default=None) for p, ids in group.items()}
+    assert all((a ^ b).bit_count() > 4 for a in group for b in group if a != b)
+    expected = [(i, t) for i, t in rows if least[plain_print(t)] == i]
+    assert (8, texts[1]) in expected and (None, texts[2]) in expected
+    assert sorted(((r.doc_id, r.text) for r in simhash.keep_one(documents(spark, rows)).collect()), key=repr) == sorted(expected, key=repr)
+
+
 def test_deal_meets_every_pair_once(spark):
     rows = spark.range(230).select(F.col("id"), F.when(F.col("id") < 200, 1).otherwise(F.col("id")).alias("k"))
     cells = {}

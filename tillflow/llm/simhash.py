@@ -38,13 +38,14 @@ def simhash(text: str | None, shingle: int = 4, part: int = 1 << 16) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row of ``docs``: doc_id and ``print``, the fingerprint as a signed long of the same 64 bits."""
+def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Per row of ``docs``: doc_id, ``print``, the fingerprint as a signed long of the same 64 bits, and the long columns ``carry``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             prints = np.array([simhash(t, shingle) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["doc_id", "print"])
-    return docs.select(id_col, text).mapInArrow(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, print long")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64)), *batch.columns[2:]], ["doc_id", "print", *carry])
+    schema = ", ".join([f"doc_id {docs.schema[id_col].dataType.simpleString()}", "print long", *[f"{c} long" for c in carry]])
+    return docs.select(id_col, text, *carry).mapInArrow(run, schema)
 
 
 def references(n: int) -> list[int]:
@@ -113,8 +114,10 @@ def links(prints: DataFrame, most_bits: int = 4, pivots: int = 16, most: int = 1
     return cells.select(*_CELL, "chunk", "print", "distances").mapInArrow(_linked(most_bits), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, most_bits: int = 4, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row of ``docs``: doc_id, ``fingerprint`` (16 lowercase hex digits) and ``component_id``, the smallest doc_id reachable by links.
+def near_duplicates(docs: DataFrame, shingle: int = 4, most_bits: int = 4, id_col: str = "doc_id", text: str = "text",
+                    carry: tuple[str, ...] = ()) -> DataFrame:
+    """Per row of ``docs``: doc_id, ``fingerprint`` (16 lowercase hex digits), ``component_id``, the smallest doc_id reachable by links, and the long
+    columns ``carry``.
 
     Documents link where their fingerprints differ in at most ``most_bits`` bits. Equal fingerprints are one before any pair is looked at, so copies cost
     nothing more.
@@ -122,22 +125,29 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, most_bits: int = 4, id_co
     Null, empty and white texts have fingerprint zero and link like any others; repeated rows are links of each other; a null id is
     never the smallest unless the whole group has no other; an empty table gives no rows. Other columns are not read.
     """
-    own = materialise(fingerprints(docs, shingle, id_col, text))
+    own = materialise(fingerprints(docs, shingle, id_col, text, carry))
     distinct = materialise(own.groupBy("print").agg(F.min("doc_id").alias("first")))
     labels = components(links(distinct.select("print"), most_bits)).withColumnRenamed("node", "print")
     labelled = distinct.join(labels, "print", "left").withColumn("label", F.coalesce("label", "print"))
     smallest = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
     classes = materialise(labelled.join(smallest, "label").select("print", "component_id"))
     joined = own.join(classes, "print")
-    return joined.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+    return joined.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id", *carry)
+
+
+# what tells rows with equal ids apart: 128 hash bits of the text
+_TEXT = ("_h1", "_h2")
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, most_bits: int = 4) -> DataFrame:
     """The rows of ``docs`` of one document per group of near-duplicates, the one with the smallest doc_id, with all their columns.
 
-    Rows with a kept doc_id all stay where their texts are in the group that it leads; rows without an id stay only if their group has no id.
+    A row is judged by its own text: rows with a kept doc_id all stay where their texts are in the group that it leads, and go where they are
+    in another; rows without an id stay only if their group has no id. Rows with equal ids are told apart by 128 hash bits of their texts.
     """
-    found = near_duplicates(docs, shingle, most_bits)
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
+    hashes = dict(zip(_TEXT, (F.xxhash64("text"), F.xxhash64(F.lit(1), "text")), strict=True))
+    found = near_duplicates(docs.select("doc_id", "text").withColumns(hashes), shingle, most_bits, carry=_TEXT)
+    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone"), *_TEXT).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_gone")) & (hashes["_h1"] == F.col("_h1")) & (hashes["_h2"] == F.col("_h2"))
     # a merge join at every size: the texts are shuffled once, in proportion to the input
-    return docs.join(gone.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    return docs.join(gone.hint("merge"), same, "left_anti")
