@@ -65,6 +65,15 @@ def test_lines_edges(spark, real):
     check_lines(spark, [(1, "z" * 50)] * 4 + [(2, "Z" * 50 + "\n" + "z" * 50)])
 
 
+def test_lines_of_repeated_ids(spark):
+    lines = [f"Line number {i} with enough characters to count as long" for i in range(20)]
+    cases = [(i, "\n".join([f"text {n} of this id"] + lines[n % 10:n % 10 + 10])) for n in range(40) for i in (None, 7)] + [(7, "\n".join(lines[:10] * 3))] * 8
+    cases += [(100, "\n".join(lines))]
+    check_lines(spark, cases)
+    held = line_runs.repeated_lines(documents(spark, cases)).collect()
+    assert held and all(len(r.gone) == len({(g.h1, g.h2) for g in r.gone}) == 10 for r in held)
+
+
 def test_lines_sql(real):
     con = duckdb.connect()
     con.execute("create table documents (doc_id bigint, text varchar)")

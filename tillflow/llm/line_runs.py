@@ -15,6 +15,8 @@ from .pieces import slices
 _WHITE = b" \t\n\x0b\x0c\r"
 _NULL = -(1 << 63)
 _KEY = ["h1", "h2"]
+# what tells rows apart: the id, and 64 hash bits of the text where ids are repeated
+_ROW = ["id", "version"]
 
 
 def line_keys(text: str | None, least: int) -> list[bytes | None]:
@@ -34,11 +36,11 @@ def _halves(keys: list[bytes]) -> np.ndarray:
 def _key_rows(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = [list({k for k in line_keys(t, least) if k}) for t in batch.column(2).to_pylist()]
-            each = np.repeat(np.arange(batch.num_rows), [len(x) for x in found])
+            found = [list({k for k in line_keys(t, least) if k}) for t in batch.column(3).to_pylist()]
+            each = pa.array(np.repeat(np.arange(batch.num_rows), [len(x) for x in found]))
             halves = _halves([k for x in found for k in x])
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(each)), batch.column(1).take(pa.array(each)), pa.array(halves[:, 0]),
-                                              pa.array(halves[:, 1])], ["batch", "id", *_KEY])
+            yield pa.RecordBatch.from_arrays([*[batch.column(i).take(each) for i in range(3)], pa.array(halves[:, 0]), pa.array(halves[:, 1])],
+                                             ["batch", *_ROW, *_KEY])
     return run
 
 
@@ -98,24 +100,26 @@ class LineRuns:
 
 
 def repeated_lines(docs: DataFrame, least_chars: int = 40, documents: int = 5, batches: int = 4, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per id that loses lines: ``id`` and ``gone``, the hashes of the keys whose lines go (null ids as the smallest number).
+    """Per id and text that lose lines: ``id`` (null ids as the smallest number), ``version`` (a hash of the text, which tells rows with equal ids
+    apart) and ``gone``, the hashes of the text's keys whose lines go, each once.
 
-    The documents are cut into ``batches`` by ranges of the id and added in descending order.
+    The documents are cut into ``batches`` by ranges of the id and added in descending order. A key that goes from one row goes from all with the same id,
+    so texts of one id with equal hashes, which share an array, still lose the right lines.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.coalesce(F.col(id_col), F.lit(_NULL)).cast("long").alias("id"), F.col(text).alias("text"))
+    rows = docs.select(F.coalesce(F.col(id_col), F.lit(_NULL)).cast("long").alias("id"), F.xxhash64(text).alias("version"), F.col(text).alias("text"))
     # where to cut the batches need not be exact
     parts = [i / batches for i in range(1, batches)]
     cuts = sorted(set(rows.select("id").approxQuantile("id", parts, 0.01))) if parts else []
     number = sum((F.when(F.col("id") < F.lit(c).cast("long"), 1).otherwise(0) for c in cuts), F.lit(0))
-    keyed = rows.select(number.cast("int").alias("batch"), "id", "text").mapInArrow(_key_rows(least_chars), "batch int, id long, h1 long, h2 long")
-    keyed = materialise(keyed)
+    keyed = rows.select(number.cast("int").alias("batch"), *_ROW, "text")
+    keyed = materialise(keyed.mapInArrow(_key_rows(least_chars), "batch int, id long, version long, h1 long, h2 long"))
     runs = LineRuns(spark)
     for at in range(len(cuts) + 1):
-        runs.add(keyed.filter(F.col("batch") == at))
+        runs.add(keyed.filter(F.col("batch") == at).select("id", *_KEY))
     frequent = materialise(runs.frequent(documents))
     gone = keyed.join(frequent, _KEY).filter("id < holder")
-    return gone.groupBy("id").agg(F.collect_list(F.struct(*_KEY)).alias("gone"))
+    return gone.groupBy(*_ROW).agg(F.collect_set(F.struct(*_KEY)).alias("gone"))
 
 
 def _drop(least: int, names: list[str], at: int):
@@ -147,12 +151,14 @@ def dedup_lines(docs: DataFrame, least_chars: int = 40, documents: int = 5, batc
 
     A null or empty text is one empty line. Each row counts as a document; of rows with the largest id that holds a line all keep it; null ids
     are smaller than any other; an empty table gives no rows. A line that stands in very many documents is combined before the shuffle, and joined
-    back by a join that can be split.
+    back by a join that can be split; rows with one id, or none, are told apart by their texts, so a row is joined with at most its own keys.
     """
-    gone = materialise(repeated_lines(docs, least_chars, documents, batches, id_col, text)).withColumnsRenamed({"id": "_id", "gone": "_gone"})
+    gone = materialise(repeated_lines(docs, least_chars, documents, batches, id_col, text)).withColumnsRenamed({"id": "_id", "version": "_version",
+                                                                                                               "gone": "_gone"})
     names = docs.columns
     # a merge join at every size: the texts are shuffled once, in proportion to the input
-    joined = docs.withColumn("_key", F.coalesce(F.col(id_col), F.lit(_NULL)).cast("long")).join(gone.hint("merge"), F.col("_key") == F.col("_id"), "left")
+    same = (F.coalesce(F.col(id_col), F.lit(_NULL)).cast("long") == F.col("_id")) & (F.xxhash64(F.col(text)) == F.col("_version"))
+    joined = docs.join(gone.hint("merge"), same, "left")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", _n_lines long, _n_dropped long"
     return joined.select(*[f"`{c}`" for c in names], "_gone").mapInArrow(_drop(least_chars, names, names.index(text)), schema)
 
