@@ -149,6 +149,20 @@ def test_quality_edges(spark):
     assert quality.score_quality(none, quality.fit_quality(none, labels)).count() == 0
 
 
+def test_quality_learns_from_one_row_per_id(spark, monkeypatch):
+    seen = []
+    plain = quality.fit_trees
+    monkeypatch.setattr(quality, "fit_trees", lambda x, y: seen.append((x, y)) or plain(x, y))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    cases = [(i, f"the text of number {i} " * (i + 1)) for i in range(40)]
+    learned = [r.doc_id for r in labels.filter(~quality.held_out()).orderBy("doc_id").collect()]
+    more = [(learned[0], f"one more text {'of this id ' * n}") for n in range(200)]
+    quality.fit_quality(documents(spark, cases + more), labels)
+    (x, y), = seen
+    texts = {i: [t for j, t in cases + more if j == i] for i in learned}
+    assert x.tolist() == [min(quality.statistics_matrix(texts[i]).tolist()) for i in learned] and y.tolist() == [i % 2 for i in learned]
+
+
 def test_trees_flatten_as_they_were_grown():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(600, 5))

@@ -151,13 +151,16 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000) -
     """Learn ``labels.quality`` of at most ``sample_rows`` labelled documents that are not held out.
 
     The sample is the first ids in the order of a hash, so it is the same in every run; it bounds what reaches the driver (one row of
-    statistics each) and the broadcast of its ids. Null ids and null labels are left out; an id with several labels has its lowest.
+    statistics each) and the broadcast of its ids. Null ids and null labels are left out; an id with several labels has its lowest, and of
+    an id with several rows the lowest statistics in order are learned from.
     """
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out())
     known = known.groupBy("doc_id").agg(F.min("quality").alias("_quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     known = known.withColumnRenamed("doc_id", "_id")
     texts = docs.select(F.col("doc_id").alias("_id"), "text").join(F.broadcast(known.select("_id")), "_id")
-    rows = document_features(texts, "_id").withColumnRenamed("doc_id", "_id").join(F.broadcast(known), "_id").orderBy("_id", "features").collect()
+    # one row per id, combined before the shuffle, however often an id is repeated
+    features = document_features(texts, "_id").groupBy(F.col("doc_id").alias("_id")).agg(F.min("features").alias("features"))
+    rows = features.join(F.broadcast(known), "_id").orderBy("_id").collect()
     x = np.array([r.features for r in rows], float).reshape(len(rows), len(FEATURES))
     return fit_trees(x, np.array([float(r._quality) for r in rows]))
 
