@@ -60,6 +60,12 @@ def test_likeness():
     assert like("aaaa", "aaaaa") < 1 and like("ab", "cd") == 0
 
 
+def test_likeness_of_short_texts():
+    marks = [Fingerprint.of(PrefixHashes(x)) for x in ("ab", "ac", "xbc", "abc", "abcdez", "abcxyz")]
+    assert prefix_hash.likeness(marks[0], marks[1]) == 0.5 and prefix_hash.likeness(marks[2], marks[3]) == pytest.approx(2 / 3)
+    assert prefix_hash.likeness(marks[4], marks[5]) == pytest.approx(4 / 6)
+
+
 def test_spans_and_extensions():
     rng = random.Random(5)
     a, b = ("".join(rng.choice("abé") for _ in range(n)) for n in (400, 300))

@@ -41,8 +41,8 @@ POWERS = _Powers()
 
 
 def ladder(n: int) -> np.ndarray:
-    """The lengths 4, 5, 6, ... growing by GROWTH, that are at most n."""
-    steps, at = [], 4.0
+    """The lengths 1, 2, 3, ... growing by GROWTH, that are at most n."""
+    steps, at = [], 1.0
     while int(at) <= n:
         steps.append(int(at))
         at = max(at * GROWTH, at + 1)
@@ -141,6 +141,7 @@ def likeness(a: Fingerprint, b: Fingerprint) -> float:
     """Share of the longer text that lies in the common prefix and the common suffix, from fingerprints alone: 1 for equal texts only.
 
     Lengths between two steps of the ladder count as the shorter step, so a common part shows with up to a seventh less.
+    Common parts between two differences do not count.
     """
     if (a.n, a.whole) == (b.n, b.whole):
         return 1.0
