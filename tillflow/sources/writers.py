@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
@@ -20,10 +23,21 @@ def write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder ``spark.checkpoint.dir`` names; a session without one gets a temporary folder, as in a trial run."""
+    """Use the folder ``spark.checkpoint.dir`` names.
+
+    A session on the local master without one gets a temporary folder, as in a trial run. On a cluster executors do not see each other's
+    disks, so a session without the setting is an error there.
+    """
     context = spark.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tillflow-checkpoint-"))
+    if context.getCheckpointDir():
+        return
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        # local[...] runs in one process; local-cluster[...] does not
+        if context.master != "local" and not context.master.startswith("local["):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that driver and executors share (master {context.master})")
+        folder = tempfile.mkdtemp(prefix="tillflow-checkpoint-")
+    context.setCheckpointDir(folder)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -33,21 +47,39 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_lock = threading.Lock()
+_writing: Counter = Counter()
+_before: dict = {}
+
+
+@contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Drop the shuffle files behind writes in this session; with several threads the first sets and the last resets."""
+    key = spark._jsparkSession.sessionUUID()
+    with _lock:
+        if not _writing[key]:
+            _before[key] = spark.conf.get(_CLEANUP)
+            spark.conf.set(_CLEANUP, "true")
+        _writing[key] += 1
+    try:
+        yield
+    finally:
+        with _lock:
+            _writing[key] -= 1
+            if not _writing[key]:
+                del _writing[key]
+                spark.conf.set(_CLEANUP, _before.pop(key))
 
 
 def stage(df: DataFrame) -> str:
     """Write a frame as parquet below the checkpoint folder and return the path.
 
-    The shuffle files behind it go as soon as it is written, since later steps read the parquet; that setting holds for this write alone.
+    The shuffle files behind it go as soon as it is written, since later steps read the parquet.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "stage")
-    before = spark.conf.get(_CLEANUP)
-    spark.conf.set(_CLEANUP, "true")
-    try:
+    with _shuffles_dropped(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(_CLEANUP, before)
     return path
 
 
@@ -55,11 +87,33 @@ def materialise(df: DataFrame) -> DataFrame:
     """Compute a frame once that a job reads several times.
 
     The staged parquet survives lost executors, is pruned by column like any table, and its file sizes tell the
-    optimizer what can be broadcast.
+    planner what may be broadcast.
     """
     return df.sparkSession.read.parquet(stage(df))
 
 
+class Stages:
+    """Staged tables that one call owns: they are deleted when its ``with`` block ends, whatever ends it.
+
+    What the call returns must be written before the block ends, such as with ``materialise``, or not read these tables.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Stages:
+        return self
+
+    def __exit__(self, *_) -> None:
+        while self.paths:
+            drop_stage(self.spark, self.paths.pop())
+
+    def materialise(self, df: DataFrame) -> DataFrame:
+        self.paths.append(stage(df))
+        return self.spark.read.parquet(self.paths[-1])
+
+
 def drop_stage(spark: SparkSession, path: str) -> None:
     """Delete a staged folder that no later plan reads."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
