@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe_transducer, line_runs, mixing, orc_ids, prefix_hash, quality, rlz, simhash, sphere_filters, token_counts
+from . import bpe_transducer, lexical, line_runs, mixing, orc_ids, packing, prefix_hash, quality, rlz, simhash, spelling, sphere_filters, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,3 +88,20 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_sphere_filters")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sphere_filters.near_duplicates(_table(spark, sf_dir, "embeddings"), least=0.93)
+
+
+@query("op11_best_fit_packing")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), end_id=1, room=2048)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op12_spelling_variants")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(_table(spark, sf_dir, "documents"), least_chars=6, least_count=5, every=199)
+    return spelling.group_variants(words, ratio=5)
+
+
+@query("op13_pair_maxscore", lexical.ORACLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=20)
