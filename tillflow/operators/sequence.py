@@ -1,9 +1,7 @@
 """Ordered rows of one entity: neighbours, numbering, running totals and changes.
 
-Raw-grain windows over an entity would put a hot entity into one task. The functions here sort all rows over all tasks by entity and
-order, work with a plain window inside an entity's part of one task's range, and carry the edges of the ranges through a small table with
-one row per entity and range. The ranges come from the data, so also an entity with most of one day's rows is split. The results
-equal those of the plain window.
+Raw-grain windows over an entity would put a hot entity into one task; the functions here work range by range (``ranged``), with the results
+of the plain window.
 """
 
 from __future__ import annotations
@@ -12,17 +10,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from ..sources.writers import materialise
 from .dedup import latest_per_key
 from .joins import null_safe_join, with_group_value
-
-
-def _ranges(df: DataFrame, by: Sequence[str]) -> DataFrame:
-    """The rows with the number ``_b`` of the range of ``by`` that they lie in.
-
-    They are staged, so a lost executor cannot deal them to other ranges. ``by`` should order the rows fully, else equal rows share a range.
-    """
-    return materialise(df.repartitionByRange(*by).withColumn("_b", F.spark_partition_id()))
+from .ranged import along, in_ranges
 
 
 def with_neighbours(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], previous: Mapping[str, str] = {},
@@ -31,35 +21,17 @@ def with_neighbours(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str
 
     ``order_cols`` must order the rows of a key fully.
     """
-    ranged = _ranges(df, [*keys, *order_cols])
-    inner = W.partitionBy(*keys, "_b").orderBy(*order_cols)
-    prev_row = F.struct(*[F.col(c).alias(o) for o, c in previous.items()] or [F.lit(0).alias("_")])
-    next_row = F.struct(*[F.col(c).alias(o) for o, c in following.items()] or [F.lit(0).alias("_")])
-    rank = F.struct(*order_cols)
-    edges = ranged.groupBy(*keys, "_b").agg(F.max_by(prev_row, rank).alias("_last"),
-                                            F.min_by(next_row, rank).alias("_first"))
-    across = W.partitionBy(*keys).orderBy("_b")
-    carried = edges.select(*keys, "_b", F.lag("_last").over(across).alias("_carry_p"),
-                           F.lead("_first").over(across).alias("_carry_n"))
-    local = (ranged.withColumn("_p", F.lag(prev_row).over(inner)).withColumn("_n", F.lead(next_row).over(inner)))
-    joined = null_safe_join(local, carried, [*keys, "_b"])
-    return joined.select(*df.columns,
-                         *[F.coalesce(F.col("_p"), F.col("_carry_p"))[o].alias(o) for o in previous],
-                         *[F.coalesce(F.col("_n"), F.col("_carry_n"))[o].alias(o) for o in following])
+    seen = along(in_ranges(df, keys, order_cols), keys, order_cols, previous=previous, following=following)
+    return seen.select(*df.columns, *previous, *following)
 
 
 def sequence_events(df: DataFrame, entity: str, date: str, tie_break: Sequence[str] = (),
                     number: str = "event_number", following: str = "next_date") -> DataFrame:
     """Number an entity's rows by date and ``tie_break``, and add the next row's date."""
     order = [date, *tie_break]
-    ranged = _ranges(df, [entity, *order])
-    parts = ranged.groupBy(entity, "_b").agg(F.count(F.lit(1)).alias("_n"), F.min(date).alias("_first"))
-    w = W.partitionBy(entity).orderBy("_b")
-    offsets = parts.select(entity, "_b", (F.sum("_n").over(w) - F.col("_n")).alias("_before"), F.lead("_first").over(w).alias("_next"))
-    within = W.partitionBy(entity, "_b").orderBy(*order)
-    local = ranged.withColumn("_r", F.row_number().over(within)).withColumn("_d", F.lead(date).over(within))
-    ranked = null_safe_join(local, offsets, [entity, "_b"])
-    return ranked.select(*df.columns, (F.col("_before") + F.col("_r")).alias(number), F.coalesce("_d", "_next").alias(following))
+    ranged = in_ranges(df.withColumn("_one", F.lit(1)), [entity], order)
+    seen = along(ranged, [entity], order, {number: "_one"}, following={following: date})
+    return seen.select(*df.columns, number, following)
 
 
 def cumulative_by(df: DataFrame, entity: str, date: str, value: str, acquired: str = "acq_date",

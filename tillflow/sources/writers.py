@@ -71,6 +71,20 @@ def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
                 spark.conf.set(_CLEANUP, _before.pop(key))
 
 
+# what an application has staged and not dropped
+_paths: dict[str, list[str]] = {}
+
+
+def _staged(spark: SparkSession) -> list[str]:
+    return _paths.setdefault(spark.sparkContext.applicationId, [])
+
+
+def drop_all_stages(spark: SparkSession) -> None:
+    """Delete everything this application has staged, as a job does when its results are written."""
+    while _staged(spark):
+        drop_stage(spark, _staged(spark)[-1])
+
+
 def stage(df: DataFrame) -> str:
     """Write a frame as parquet below the checkpoint folder and return the path.
 
@@ -80,6 +94,7 @@ def stage(df: DataFrame) -> str:
     path = scratch_path(spark, "stage")
     with _shuffles_dropped(spark):
         df.write.parquet(path)
+    _staged(spark).append(path)
     return path
 
 
@@ -92,6 +107,23 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(stage(df))
 
 
+def materialise_buckets(df: DataFrame, by: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """Compute a frame once and keep it in buckets of ``by``, so that joins, windows and aggregates on ``by`` and more need no shuffle of it.
+
+    The files lie below the checkpoint folder. The catalog knows the table only while it is written and first read.
+    """
+    spark = df.sparkSession
+    path, name = scratch_path(spark, "buckets"), f"tillflow_buckets_{uuid.uuid4().hex}"
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with _shuffles_dropped(spark):
+        df.write.format("parquet").option("path", path).bucketBy(buckets, *by).saveAsTable(name)
+    table = spark.table(name)
+    # an external table leaves the catalog, its files stay
+    spark.sql(f"drop table {name}")
+    _staged(spark).append(path)
+    return table
+
+
 class Stages:
     """Staged tables that one call owns: they are deleted when its ``with`` block ends, whatever ends it.
 
@@ -113,11 +145,24 @@ class Stages:
         self.paths.append(stage(df))
         return self.spark.read.parquet(self.paths[-1])
 
+    def own(self, table: DataFrame) -> DataFrame:
+        """Take over a table that another function has just staged."""
+        self.paths += [path for path in staged_paths(table) if path not in self.paths]
+        return table
+
+
+def staged_paths(table: DataFrame) -> list[str]:
+    """The staged folders of this application that hold the files of ``table``."""
+    files = table.inputFiles()
+    return [path for path in _staged(table.sparkSession) if any(path.rsplit("/", 1)[1] in file for file in files)]
+
 
 def drop_stage(spark: SparkSession, path: str) -> None:
     """Delete a staged folder that no later plan reads."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    if path in _staged(spark):
+        _staged(spark).remove(path)
 
 
 def number_rows(df: DataFrame, order_by: Sequence[str | Column], out: str = "row_index") -> DataFrame:
