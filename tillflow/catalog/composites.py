@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions import CHANNEL_PREFIXES, map_channel, month_start
+from ..operators.asof import asof_merge
 from ..operators.calendar import expand_intervals, zero_fill
 from ..operators.dedup import latest_per_key
 from ..operators.joins import with_group_value
@@ -20,10 +21,11 @@ from ..operators.scoring import score_rows
 from ..operators.sequence import (activity_within, attribute_history, conversion_share, cross_share, cumulative_by, daily_counts,
                                   detect_increase, first_touch_funnel, sequence_events)
 from ..operators.subscriptions import effective_end, monthly_recurring, month_snapshot
+from ..operators.sweep import at_month_starts, by_day
 from ..plans import finance, payments
 from ..sources.regions import region_union
 from ..sources.writers import number_batches
-from .hubs import ladder, scalar
+from .hubs import START, ladder, scalar
 from .registry import query
 from .rows import by_region
 
@@ -64,6 +66,23 @@ def _(s):
     return asof_range_join(s.base("lineitem"), cost, {"p_partkey": "l_partkey"}, "l_shipdate").select("l_orderkey", "l_linenumber", "l_partkey", "cogs")
 
 
+@query("CMP4_asof_merge", """select l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, k.cogs from lineitem l left join (select p_partkey, cogs, effective_date as a,
+ coalesce(lead(effective_date) over (partition by p_partkey order by effective_date) - 1, date '9999-12-31') as b from t_marketplace_cogs) k
+ on k.p_partkey = l.l_partkey and l.l_shipdate::date between k.a and k.b""", r4="cogs")
+def _(s):
+    lines = s.base("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    return asof_merge(lines, s["marketplace_cogs"], {"p_partkey": "l_partkey"}, "l_shipdate", "effective_date", ["cogs"]).drop("l_shipdate")
+
+
+@query("JN8_asof_merge", """select c.id, r.refund_id, r.refund_amount from t_charge c asof left join (select region, created, max(id) as refund_id,
+ arg_max(amount_refunded, id) as refund_amount from t_charge where amount_refunded > 0 group by 1, 2) r on c.region = r.region and c.created >= r.created""")
+def _(s):
+    refunds = s["charge"].filter("amount_refunded > 0").select("region", "created", c("id").alias("refund_id"), c("amount_refunded").alias("refund_amount"))
+    charges = s["charge"].select("id", "region", "created")
+    return asof_merge(charges, refunds, {"region": "region"}, "created", "created", ["refund_id", "refund_amount"], tie_break=["refund_id"]).select(
+        "id", "refund_id", "refund_amount")
+
+
 @query("CMP5_currency", """select c.id, c.amount / f.fx_to_usd / coalesce(u.subunits, 100) as amount_usd, c.amount / f.fx_to_usd / coalesce(u.subunits, 100) * f.fx_to_usd as amount_local
  from t_charge c left join t_fx f on f.currency = c.currency left join t_subunits u on u.currency = c.currency""", r4="amount_usd amount_local")
 def _(s):
@@ -105,6 +124,20 @@ def _(s):
     return expand_intervals(spans, "valid_from", "valid_to", "obs_date", "1990-01-01", "2000-12-31", step="month").select("id", "obs_date")
 
 
+LEVELS = """select region, condition, obs_date as day, count(*) as n_items, count(*) filter (ended_at >= obs_date) as n_live,
+ coalesce(sum(round(mrr_usd * 1000000)::bigint), 0)::bigint as mrr_micros from h_metrics"""
+
+
+@query("CMP8_sweep_days", f"{LEVELS} group by all", dates="day")
+def _(s):
+    return by_day(payments.subscription_levels(s, AS_OF, START), START, AS_OF)
+
+
+@query("CMP11_sweep_months", f"{LEVELS} where day(obs_date) = 1 group by all", dates="day")
+def _(s):
+    return at_month_starts(payments.subscription_levels(s, AS_OF, START), START, AS_OF, out="day")
+
+
 @query("CMP9_monthly_recurring", """select i.subscription_id, p.id as plan_id, case p.plan_interval when 'month' then v / n when 'year' then v / (12 * n) when 'week' then v * 52 / 12 / n
  when 'day' then v * 365 / 12 / n else 0 end as mrr from (select *, coalesce(interval_count, 1) as n from t_plan) p join (select m.*, 1 as one from t_subscription_item m) i on i.plan_id = p.id
  cross join lateral (select p.amount * i.quantity / 100 as v) x""", r6="mrr")

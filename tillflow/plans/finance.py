@@ -311,24 +311,21 @@ def _margin_sums() -> list[Column]:
 
 
 def _margin_base(hub: DataFrame) -> DataFrame:
-    """Hub rows summed to month x segment x customer, with the customer's first month.
-
-    The first month is taken after the sums; it depends on the customer only. The sums are staged, because the
-    first months, the pool shares and the result all read them.
-    """
+    """Hub rows summed to month x segment x customer, staged, because the first months, the pool shares and the result all read them."""
     rows = hub.withColumns({
         "country": F.col("region"), "date": month_start("purchase_date"), "new_existing": F.coalesce("new_existing", F.lit("New")),
         "condition": F.coalesce("condition", F.lit("N/A")), "amount": sale_amount()})
     keys = ["country", "date", "purchase_type", "new_existing", "sales_channel", "condition", "customer_id"]
     base = rows.groupBy(*keys).agg(*_margin_sums(), F.sum(F.coalesce(F.col("cogs") * F.col("quantity"), F.lit(0.0))).alias("cogs"),
                                    F.countDistinct("charge_id").alias("n_orders"))
-    return with_group_value(materialise(base), ["customer_id"], acq_month=F.min("date"))
+    return materialise(base)
 
 
 def _prorated(base: DataFrame, spend: DataFrame, t: Tables) -> DataFrame:
-    """Delivery, marketing and operating pools spread by revenue share.
+    """Delivery, marketing and operating pools spread by revenue share, and each customer's first month.
 
-    All pools meet in one small table per (month, country, condition), so the big side is joined once.
+    All pools meet in one small table per (month, country, condition), so the big side is joined once. They are summed from the staged rows
+    themselves; the first month, which depends on the customer only, is joined to the result alone.
     """
     by_condition = base.groupBy("date", "country", "condition").agg(F.sum("amount").alias("total_condition"))
     by_country = by_condition.groupBy("date", "country").agg(F.sum("total_condition").alias("total_country"))
@@ -337,7 +334,7 @@ def _prorated(base: DataFrame, spend: DataFrame, t: Tables) -> DataFrame:
     pools = (null_safe_join(by_condition, by_country, ["date", "country"])
              .join(delivery_costs(t), ["date", "country"], "left").join(opex(t), ["date", "country"], "left")
              .join(marketing, ["date", "country", "condition"], "left"))
-    joined = null_safe_join(base, pools, ["date", "country", "condition"])
+    joined = null_safe_join(with_group_value(base, ["customer_id"], acq_month=F.min("date")), pools, ["date", "country", "condition"])
     country_share = safe_divide("amount", "total_country")
     spread = {"delivery_cost": "delivery", "dispensing_fees": "pool_dispensing_fees",
               "operating_expense": "pool_operating_expense", "staff_cost": "pool_staff_cost"}
@@ -371,7 +368,8 @@ def cm3(hub: DataFrame, spend: DataFrame, t: Tables) -> DataFrame:
             "customer_id", "charge_id", "recurring_interval", "recurring_interval_count", "gst_vat"]
     sums = (rows.groupBy(*keys).agg(*_margin_sums(), F.sum("cogs").alias("cogs"))
                 .withColumnsRenamed({"amount": "revenue", "gateway_fees": "payment_gateway_fees", "gst_vat": "gst_vat_rate"}))
-    base = with_group_value(materialise(sums), ["customer_id"], acq_month=F.min("purchase_month"))
+    # staged with the first month, which the cohort's sums and the result both read
+    base = materialise(with_group_value(materialise(sums), ["customer_id"], acq_month=F.min("purchase_month")))
     by_cohort = base.groupBy("acq_month", "purchase_month", "country").agg(F.sum("revenue").alias("cohort_total"))
     by_month = by_cohort.groupBy("purchase_month", "country").agg(F.sum("cohort_total").alias("month_total"))
     marketing = (spend.groupBy(month_start("date").alias("purchase_month"), F.lower("country_code").alias("country"))

@@ -93,10 +93,12 @@ def marketing_spend(t: Tables) -> DataFrame:
     facebook = _spend(facebook, F.lit("facebook_ads"), by=by, t=t, reach=F.col("reach"), clicks=F.col("clicks"),
                       impressions=F.col("impressions"), cost_local=F.col("spend"))
 
-    campaign = t["taboola_campaign"].select(F.col("id").alias("campaign_id"), F.col("name").alias("campaign_name"),
-                                            F.col("country").alias("country_code"))
-    taboola = (t["taboola_report"].withColumnRenamed("currency", "currency_code").join(campaign, "campaign_id", "left")
-               .join(condition, "campaign_name", "left"))
+    # a campaign that targets several countries shows its whole spend in each; summed per day before the countries widen the rows
+    campaign = t["taboola_campaign"].select(F.col("id").alias("campaign_id"), F.col("name").alias("campaign_name"))
+    target = t["taboola_target"].select("campaign_id", F.col("value").alias("country_code"))
+    report = (t["taboola_report"].groupBy("campaign_id", "date", F.col("currency").alias("currency_code"))
+              .agg(*[F.sum(c).alias(c) for c in ("clicks", "impressions", "spent")]))
+    taboola = (report.join(campaign, "campaign_id", "left").join(target, "campaign_id", "left").join(condition, "campaign_name", "left"))
     taboola = _spend(taboola, F.lit("taboola"), by=by, t=t, reach=F.lit(0), clicks=F.col("clicks"), impressions=F.col("impressions"),
                      cost_local=F.col("spent"))
 
@@ -139,29 +141,34 @@ def utm_source_map(t: Tables) -> DataFrame:
             .withColumn("channel", map_channel("context_campaign_source", CHANNEL_PREFIXES, ignore_case=True)))
 
 
-def _event_counts(events: DataFrame, t: Tables, sources: DataFrame, condition: str, count: Column, name: str) -> DataFrame:
-    """Events per day, country, channel and condition."""
+def _action_counts(t: Tables, sources: DataFrame) -> DataFrame:
+    """Sign-ups, answered forms and checkouts per day, country, channel and condition.
+
+    The three are one stream of tagged events, so the largest table, that of all tracked moments, is joined once.
+    """
+    checkout = t["checkout"].join(t["checkout_product"].filter(F.col("name") == "Teleconsultation")
+                                  .select("message_id", F.col("condition").alias("raw")), "message_id")
+    kinds = {"n_signups": (t["signed_up"], "condition"), "n_q3_completions": (t["eval_step"], "evaluation_type"), "n_checkouts_completed": (checkout, "raw")}
+    events = reduce(DataFrame.unionByName, [
+        df.select(F.lit(name).alias("what"), "message_id", "region", "utm_source", F.col(raw).alias("raw")) for name, (df, raw) in kinds.items()])
     day = t["tracks"].select("message_id", F.to_date("ts").alias("date"))
     source = sources.withColumnRenamed("context_campaign_source", "utm_source")
-    label = t["condition_map"].select(F.col("raw_condition").alias(condition), F.col("condition").alias("label"))
-    joined = events.join(day, "message_id").join(source, "utm_source", "left").join(label, condition, "left")
-    return joined.groupBy("date", F.lower("region").alias("country"), F.coalesce("channel", F.lit("N/A")).alias("channel"),
-                          F.coalesce("label", F.lit("N/A")).alias("condition")).agg(count.alias(name))
+    label = t["condition_map"].select(F.col("raw_condition").alias("raw"), F.col("condition").alias("label"))
+    joined = events.join(day, "message_id").join(source, "utm_source", "left").join(label, "raw", "left")
+    keys = {"date": F.col("date"), "country": F.lower("region"), "channel": F.coalesce("channel", F.lit("N/A")), "condition": F.coalesce("label", F.lit("N/A"))}
+    # one distinct count for all three; sign-ups count rows
+    counts = joined.groupBy("what", *[c.alias(k) for k, c in keys.items()]).agg(F.count("message_id").alias("_rows"), F.countDistinct("message_id").alias("_messages"))
+    number = F.when(F.col("what") == "n_signups", F.col("_rows")).otherwise(F.col("_messages"))
+    return counts.groupBy(*keys).agg(*[F.sum(F.when(F.col("what") == name, number)).alias(name) for name in kinds])
 
 
 def marketing_cost_per_action(t: Tables, spend: DataFrame, appointments: DataFrame, since: str = "2025-01-27") -> DataFrame:
     """Day x country x channel x condition: ad metrics beside sign-ups, form completions, checkouts and consults."""
     keys = ["date", "country", "channel", "condition"]
-    sources = utm_source_map(t)
-    signed = t["signed_up"].withColumnRenamed("condition", "raw")
-    checkout = t["checkout"].join(t["checkout_product"].filter(F.col("name") == "Teleconsultation")
-                                  .select("message_id", F.col("condition").alias("raw")), "message_id")
     facts = [
         spend.groupBy("date", F.lower("country_code").alias("country"), "channel", F.coalesce("condition", F.lit("N/A")).alias("condition"))
              .agg(F.sum("impressions").alias("ad_impressions"), F.sum("cost_usd").alias("cost_usd"), F.sum("clicks").alias("clicks")),
-        _event_counts(signed, t, sources, "raw", F.count("message_id"), "n_signups"),
-        _event_counts(t["eval_step"], t, sources, "evaluation_type", F.countDistinct("message_id"), "n_q3_completions"),
-        _event_counts(checkout, t, sources, "raw", F.countDistinct("message_id"), "n_checkouts_completed"),
+        _action_counts(t, utm_source_map(t)),
         appointments.groupBy("date", F.col("region").alias("country"), F.coalesce("utm_source", F.lit("N/A")).alias("channel"),
                              F.coalesce("condition", F.lit("N/A")).alias("condition"))
                     .agg(F.countDistinct("consult_sys_id").alias("n_consults"))]

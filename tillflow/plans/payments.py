@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import json_scalar, month_start
 from ..operators.calendar import date_steps, expand_intervals
@@ -15,10 +15,13 @@ from ..operators.dedup import latest_per_key
 from ..operators.joins import null_safe_join
 from ..operators.json_fields import map_of_entries
 from ..operators.money import minor_to_usd, with_rate
+from ..operators.row_diff import differing_rows
 from ..operators.sequence import (attribute_history, conversion_share, detect_increase, sequence_events, share_of_groups)
 from ..operators.subscriptions import effective_end, month_observations, monthly_recurring
+from ..operators.sweep import levels, signed_events
 from ..sources.regions import all_regions
-from ..sources.writers import materialise
+from ..sources.snapshots import PartitionedTable
+from ..sources.writers import Stages, materialise
 
 Tables = Mapping[str, DataFrame]
 
@@ -95,9 +98,7 @@ def subscription_intervals(t: Tables, paid_only: bool = True, paid_quantity_only
                   .withColumn("mrr_usd", F.col("mrr_local") / F.col("fx_to_usd")).drop("fx_to_usd", "status"))
 
 
-def subscription_metrics(t: Tables, as_of, start=CALENDAR_START) -> DataFrame:
-    """Subscription item x day with its MRR, plus one zero day after the end (hub of the lifecycle jobs)."""
-    days = expand_intervals(subscription_intervals(t), "created_at", "ended_at", "obs_date", start, as_of, tail_days=1)
+def _metric_rows(days: DataFrame) -> DataFrame:
     live = F.col("ended_at") >= F.col("obs_date")
     return days.select(
         "region", "subscription_id", "customer_id", "obs_date", "created_at", "ended_at", "currency", "plan_id",
@@ -106,6 +107,58 @@ def subscription_metrics(t: Tables, as_of, start=CALENDAR_START) -> DataFrame:
         F.when(live, F.col("mrr_usd")).otherwise(F.lit(0.0)).alias("mrr_usd"))
 
 
+def subscription_metrics(t: Tables, as_of, start=CALENDAR_START) -> DataFrame:
+    """Subscription item x day with its MRR, plus one zero day after the end (hub of the lifecycle jobs)."""
+    days = expand_intervals(subscription_intervals(t), "created_at", "ended_at", "obs_date", start, as_of, tail_days=1)
+    return _metric_rows(days)
+
+
+def _month_slices(spans: DataFrame, as_of, start) -> DataFrame:
+    """The intervals with their zero day, cut at months: ``month`` and the days ``_from`` to ``_to`` in it."""
+    first = F.greatest(F.col("created_at"), F.lit(start).cast("date"))
+    last = F.least(F.date_add("ended_at", 1), F.lit(as_of).cast("date"))
+    months = F.sequence(F.trunc(first, "MM").cast("date"), F.trunc(last, "MM").cast("date"), F.expr("interval 1 month"))
+    given = F.col("created_at").isNotNull() & F.col("ended_at").isNotNull() & (first <= last)
+    cut = spans.filter(given).withColumn("month", F.explode(months))
+    return cut.withColumns({"_from": F.greatest(first, F.col("month")), "_to": F.least(last, F.last_day("month"))})
+
+
+def refresh_subscription_metrics(t: Tables, hub: PartitionedTable, spans: PartitionedTable, as_of, previous_as_of=None, start=CALENDAR_START) -> DataFrame:
+    """Bring the stored :func:`subscription_metrics` up to date and return the (region, month) that were written anew.
+
+    ``hub`` is kept by region and month of ``obs_date``, ``spans`` holds the intervals it was made of, by region. Intervals that the sources now give
+    otherwise touch the months they cover now and covered before; if ``as_of`` has moved since ``previous_as_of``, so does every interval from that month on.
+    Only days of touched months are expanded and written. The hub is switched before the intervals, so a refresh that fails between the two is made
+    good by the next one, which touches the same months again.
+    """
+    with Stages(hub.spark) as stages:
+        new = stages.materialise(subscription_intervals(t).select(*spans.schema.names))
+        old = spans.read()
+        changed = stages.materialise(differing_rows(old, new, ["region"], ["subscription_id", "plan_id"]).select(*spans.schema.names))
+        touched = _month_slices(changed, as_of, start)
+        if previous_as_of is not None and str(previous_as_of) != str(as_of):
+            later = max(str(previous_as_of), str(as_of))
+            moved = _month_slices(new, later, start).filter(F.col("month") >= F.trunc(F.lit(min(str(previous_as_of), str(as_of))).cast("date"), "MM"))
+            touched = _month_slices(changed, later, start).unionByName(moved)
+        touched = materialise(touched.select("region", "month").distinct())
+        if touched.isEmpty():
+            return touched
+        # region and month, not region alone, decide what is expanded
+        slices = null_safe_join(_month_slices(new, as_of, start), touched.withColumn("_touched", F.lit(True)), ["region", "month"], "inner")
+        days = slices.withColumn("obs_date", F.explode(F.sequence("_from", "_to")))
+        hub.replace(_metric_rows(days).withColumn("month", F.trunc("obs_date", "MM").cast("date")), touched)
+        regions = changed.select("region").distinct()
+        spans.replace(null_safe_join(new, regions.withColumn("_touched", F.lit(True)), ["region"], "inner"), regions)
+        return touched
+
+
+def subscription_hub(spark: SparkSession, t: Tables, path: str) -> tuple[PartitionedTable, PartitionedTable]:
+    """The stored tables of :func:`refresh_subscription_metrics` below ``path``: (hub, intervals)."""
+    spans = subscription_intervals(t)
+    rows = _metric_rows(spans.withColumn("obs_date", F.lit(None).cast("date"))).withColumn("month", F.col("obs_date"))
+    return (PartitionedTable(spark, f"{path}/hub", rows.schema, ["region", "month"]), PartitionedTable(spark, f"{path}/spans", spans.schema, ["region"]))
+
+
 def subscription_months(t: Tables, as_of, start=CALENDAR_START) -> DataFrame:
     """The month starts of :func:`subscription_metrics` with its zero days already moved to the next month.
 
@@ -116,6 +169,21 @@ def subscription_months(t: Tables, as_of, start=CALENDAR_START) -> DataFrame:
                          "product_name", "condition", "mrr_usd")
 
 
+def subscription_levels(t: Tables, as_of, start=CALENDAR_START, dims: Sequence[str] = ("region", "condition")) -> DataFrame:
+    """Totals of :func:`subscription_metrics` per segment, as stretches of days with equal levels.
+
+    ``n_items`` counts the items with a row on a day, ``n_live`` those without the zero day after the end, ``mrr_micros`` adds their MRR in millionths.
+    Read from the intervals, two rows each, so the work does not grow with their length; :func:`sweep.by_day` lists the days.
+    """
+    spans = subscription_intervals(t).filter(F.col("created_at").isNotNull() & F.col("ended_at").isNotNull())
+    first, last = F.greatest(F.col("created_at"), F.lit(start).cast("date")), F.lit(as_of).cast("date")
+    micros = F.coalesce(F.rint(F.col("mrr_usd") * 1e6).cast("long"), F.lit(0))
+    present = signed_events(spans, first, F.least(F.date_add("ended_at", 1), last), dims, {"n_items": F.lit(1).cast("long")})
+    live = signed_events(spans, first, F.least(F.col("ended_at"), last), dims, {"n_live": F.lit(1).cast("long"), "mrr_micros": micros})
+    # levels stand until the last day read
+    return levels([present, live], dims, ["n_items", "n_live", "mrr_micros"], until=as_of)
+
+
 def customer_metrics(t: Tables, as_of, start=CALENDAR_START) -> DataFrame:
     """Customer x product x day MRR; unpaid subscriptions count, no churn day."""
     spans = subscription_intervals(t, paid_only=False, paid_quantity_only=False)

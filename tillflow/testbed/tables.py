@@ -302,7 +302,9 @@ SQL["t_fb_purchase"] = """select cast(l_shipdate as date) as date, l_partkey as
  from lineitem where l_linestatus = 'F' group by 1, 2"""
 SQL["t_taboola_report"] = """select o_day as date, o_custkey % 100 as campaign_id, upper(currency) as currency, cast(o_orderkey % 50 as bigint) as clicks,
  cast(o_orderkey % 50 * 60 as bigint) as impressions, floor(cents / 100) / 100e0 as spent from s_sale where o_orderpriority = '5-LOW'"""
-SQL["t_taboola_campaign"] = "select s_suppkey as id, s_name as name, case s_suppkey % 3 when 0 then 'SG' when 1 then 'HK' else 'JP' end as country from supplier"
+SQL["t_taboola_campaign"] = "select s_suppkey as id, s_name as name from supplier"
+SQL["t_taboola_target"] = """select s_suppkey as campaign_id, case s_suppkey % 3 when 0 then 'SG' when 1 then 'HK' else 'JP' end as value from supplier
+ where s_suppkey % 7 <> 0 union all select s_suppkey, case s_suppkey % 3 when 0 then 'HK' when 1 then 'JP' else 'SG' end from supplier where s_suppkey % 4 = 0"""
 SQL["t_manual_spend"] = """select o_day as date, case when o_orderkey % 2 = 0 then 'edm' else 'menarini' end as supplier,
  case when o_orderkey % 3 = 0 then 'ED' end as condition, upper(currency) as currency, upper(region) as country,
  floor(cents / 200) / 100e0 as amount from s_sale where o_orderpriority = '4-NOT SPECIFIED'"""
