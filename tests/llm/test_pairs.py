@@ -184,3 +184,22 @@ def test_sphere_filters_on_real_vectors(spark):
     df = spark.read.parquet(f"{SF}/embeddings.parquet")
     rows = [(r.vec_id, r.embedding, r.label) for r in df.collect()]
     assert sorted((tuple(r) for r in sphere_filters.near_duplicates(df).collect()), key=repr) == brute_links(rows)
+
+
+def test_blocks_follow_the_number_of_fingerprints():
+    """What is looked at per fingerprint, in rows of keys and pairs of uniform fingerprints, grows far slower than their number."""
+    import math
+    work = []
+    for n in (10 ** k for k in range(4, 11)):
+        blocks = simhash.block_count(n, 4)
+        keys, bits = math.comb(blocks, 4), 64 * (blocks - 4) / blocks
+        work.append(keys + 0.05 * keys * n / 2 ** (bits + 1))
+    # a million times the fingerprints, not a hundred times the work for each
+    assert work[-1] < 100 * work[0] and all(b < 6 * a for a, b in zip(work, work[1:], strict=False))
+    assert [simhash.block_count(n, 4) for n in (0, 10, 10 ** 9)] == [5, 5, 7]
+
+
+@pytest.mark.parametrize("blocks", [6, 7, 8])
+def test_simhash_components_with_more_blocks(spark, real, monkeypatch, blocks):
+    monkeypatch.setattr(simhash, "block_count", lambda n, most_bits: blocks)
+    check_simhash(spark, EDGES + near_copies(60))

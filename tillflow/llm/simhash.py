@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..sources.writers import materialise
 from .cells import Forest, deal, starts_of_groups, whole_groups
 from .components import components
-from .pieces import slices
+from .pieces import slices, unused
 
 BITS = 64
 
@@ -54,16 +56,36 @@ def references(n: int) -> list[int]:
     return [v - (1 << 64) if v >> 63 else v for v in values]
 
 
-def _block_keys(print_: Column, blocks: int) -> Column:
-    """For each block of bits the key of a fingerprint in it.
+def block_count(n: int, most_bits: int, pair_cost: float = 0.05) -> int:
+    """Into how many blocks to cut fingerprints, for the least work on ``n`` of them.
 
-    Two fingerprints within ``blocks`` - 1 bits agree in a whole block. There their distances to every reference are equal; to the
-    references with one bit set in the block these distances spell the block's bits. So the bits are the key of "all
-    coordinate differences in this block are 0", and a join on it misses no pair.
+    Fingerprints within ``most_bits`` bits differ in at most as many blocks, so with b blocks they agree in one of the choices of b - most_bits
+    of them: as many rows per fingerprint, and buckets of n / 2^bits. A pair to look at costs ``pair_cost`` rows. With more fingerprints there are
+    more and longer keys, so the pairs grow little faster than n where a fixed number of blocks has n^2.
+    """
+    def work(blocks: int) -> float:
+        keys, bits = math.comb(blocks, most_bits), BITS * (blocks - most_bits) / blocks
+        return keys * (n + pair_cost * n * n / 2 ** (bits + 1))
+    return min(range(most_bits + 1, 3 * most_bits + 4), key=work)
+
+
+def _block_keys(print_: Column, blocks: int, most_bits: int) -> Column:
+    """For each choice of ``blocks`` - ``most_bits`` blocks of bits its number and the bits of these blocks.
+
+    Fingerprints within ``most_bits`` bits agree in all blocks of one choice. There their distances to every reference are equal; to the
+    references with one bit set in the blocks these distances spell the blocks' bits. So the bits are the key of "all
+    coordinate differences in these blocks are 0", and a join on it misses no pair.
     """
     cuts = [BITS * i // blocks for i in range(blocks + 1)]
-    return F.array(*[F.struct(F.lit(i).alias("block"), F.shiftrightunsigned(print_, a).bitwiseAND(F.lit((1 << (b - a)) - 1)).alias("key"))
-                     for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))])
+    spans = list(zip(cuts, cuts[1:], strict=False))
+    keys = []
+    for number, chosen in enumerate(combinations(spans, blocks - most_bits)):
+        key = F.lit(0).cast("long")
+        for a, b in chosen:
+            bits = F.shiftrightunsigned(print_, a).bitwiseAND(F.lit((1 << (b - a)) - 1))
+            key = F.shiftleft(key, b - a).bitwiseOR(bits)
+        keys.append(F.struct(F.lit(number).alias("block"), key.alias("key")))
+    return F.array(*keys)
 
 
 _CELL = ["block", "key", "cell_a", "cell_b"]
@@ -100,13 +122,14 @@ def _linked(most_bits: int):
 def links(prints: DataFrame, most_bits: int = 4, pivots: int = 16, most: int = 1000) -> DataFrame:
     """Links (a, b) between distinct fingerprints (``print``, from a table) that connect all within ``most_bits`` bits, directly or by others.
 
-    Each fingerprint gets its distances to ``pivots`` seeded references once, on the JVM. Fingerprints that agree in a block
-    of bits meet in a cell; there, in the order of the first distance, a pair goes if a coordinate differs by more than ``most_bits``, and
+    Each fingerprint gets its distances to ``pivots`` seeded references once, on the JVM. Fingerprints that agree in blocks
+    of bits, whose number follows that of the fingerprints, meet in a cell; there, in the order of the first distance, a pair goes if a coordinate differs by more than ``most_bits``, and
     a pair that stays is verified on all bits. Pairs that are connected already need no test, and a cell gives one row per linked
     fingerprint, so a large group of near copies makes no list of its pairs. Buckets of over ``most`` rows are split.
     """
     table = F.array(*[F.bit_count(F.col("print").bitwiseXOR(F.lit(r))).cast("tinyint") for r in references(pivots)])
-    rows = prints.select("print", table.alias("distances"), F.explode(_block_keys(F.col("print"), most_bits + 1)).alias("k"))
+    blocks = block_count(prints.count(), most_bits)
+    rows = prints.select("print", table.alias("distances"), F.explode(_block_keys(F.col("print"), blocks, most_bits)).alias("k"))
     rows = rows.select("print", "distances", "k.block", "k.key")
     cells = deal(rows, ["block", "key"], F.xxhash64("print"), most)
     cells = cells.withColumn("first", F.get("distances", F.lit(0)))
@@ -136,7 +159,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, most_bits: int = 4, id_co
 
 
 # what tells rows with equal ids apart: 128 hash bits of the text
-_TEXT = ("_h1", "_h2")
+_TEXT = ("h1", "h2")
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, most_bits: int = 4) -> DataFrame:
@@ -147,7 +170,9 @@ def keep_one(docs: DataFrame, shingle: int = 4, most_bits: int = 4) -> DataFrame
     """
     hashes = dict(zip(_TEXT, (F.xxhash64("text"), F.xxhash64(F.lit(1), "text")), strict=True))
     found = near_duplicates(docs.select("doc_id", "text").withColumns(hashes), shingle, most_bits, carry=_TEXT)
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone"), *_TEXT).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_gone")) & (hashes["_h1"] == F.col("_h1")) & (hashes["_h2"] == F.col("_h2"))
+    gone, h1, h2 = unused(docs.columns, "_gone", "_h1", "_h2")
+    lost = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    lost = lost.select(F.col("doc_id").alias(gone), F.col("h1").alias(h1), F.col("h2").alias(h2)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(gone)) & (hashes["h1"] == F.col(h1)) & (hashes["h2"] == F.col(h2))
     # a merge join at every size: the texts are shuffled once, in proportion to the input
-    return docs.join(gone.hint("merge"), same, "left_anti")
+    return docs.join(lost.hint("merge"), same, "left_anti")
