@@ -18,7 +18,10 @@ def documents(spark, rows):
     """Rows of (doc_id, text[, lang, source]) as a table of documents with more columns whose names operators use inside."""
     full = [(r[0], r[1], r[2] if len(r) > 2 else "en", r[3] if len(r) > 3 else "s", len(r[1] or "")) for r in rows]
     df = spark.createDataFrame(full, DOCUMENTS)
-    clashing = ("row", "id", "n", "key", "size", "words", "h", "file", "tail", "part", "bucket", "score", "ids", "fingerprint", "shard", "lines")
+    clashing = ("row", "id", "n", "key", "size", "words", "h", "file", "tail", "part", "bucket", "score", "ids", "fingerprint", "shard", "lines",
+                "_id", "_version", "_gone", "_factors", "_h1", "_h2", "_rest", "_source", "_v", "_taken", "_size", "_part", "_n_lines", "_n_dropped",
+                "_n_words", "_n_removed", "h1", "h2", "word", "rank", "sequence_id", "start", "length", "offset", "_item", "_quality", "print", "label", "first", "begin", "hash",
+                "_in", "_before", "_p1", "_p2", "_upto", "plan", "target", "taken")
     return df.selectExpr("*", *[f"'x' as {c}" for c in clashing])
 
 

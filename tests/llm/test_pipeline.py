@@ -72,11 +72,14 @@ def test_stages_on_edges(spark, cases):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, SF)
         assert out.columns == docs.columns
-        docs = spark.createDataFrame(out.collect(), out.schema)
+        found = out.collect()
+        assert all(r[c] == "x" for r in found for c in out.columns[5:])
+        docs = spark.createDataFrame(found, out.schema)
     corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
     # stages on what the trees would reject as well
     docs = documents(spark, cases)
     for _, stage in corpus_pipeline.STAGES[1:-1]:
         docs = spark.createDataFrame(stage(spark, docs, SF).collect(), docs.schema)
+        assert all(r[c] == "x" for r in docs.collect() for c in docs.columns[5:])
     assert all(r.text for r in docs.collect())
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == docs.count()

@@ -48,8 +48,12 @@ def line_cases():
 def check_lines(spark, cases, **more):
     docs = documents(spark, cases)
     out = line_runs.dedup_lines(docs, **more)
-    assert out.columns == [*docs.columns, "_n_lines", "_n_dropped"]
-    got = sorted(((r.doc_id, r._n_lines, r._n_dropped, r.text) for r in out.collect()), key=repr)
+    # the table has columns of these names, so the counts get one more underscore, and what the user's hold stays
+    assert out.columns == [*docs.columns, "__n_lines", "__n_dropped"]
+    found = out.collect()
+    assert all(r[c] == "x" for r in found for c in docs.columns[5:])
+    assert line_runs.dedup_lines(docs.select("doc_id", "text"), **more).columns == ["doc_id", "text", "_n_lines", "_n_dropped"]
+    got = sorted(((r.doc_id, r["__n_lines"], r["__n_dropped"], r.text) for r in found), key=repr)
     assert got == brute_lines(cases)
 
 
@@ -114,8 +118,10 @@ def brute_repeats(cases, window=50):
 def check_repeats(spark, cases, window=50, **more):
     docs = documents(spark, cases)
     out = rlz.remove_repeats(docs, window=window, **more)
-    assert out.columns == [*docs.columns, "_n_words", "_n_removed"]
-    got = sorted(((r.doc_id, r._n_words, r._n_removed, r.text) for r in out.collect()), key=repr)
+    assert out.columns == [*docs.columns, "__n_words", "__n_removed"]
+    found = out.collect()
+    assert all(r[c] == "x" for r in found for c in docs.columns[5:])
+    got = sorted(((r.doc_id, r["__n_words"], r["__n_removed"], r.text) for r in found), key=repr)
     assert got == brute_repeats(cases, window)
 
 

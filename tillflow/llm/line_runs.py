@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.writers import drop_stage, materialise, stage
-from .pieces import slices
+from .pieces import slices, unused
 
 _WHITE = b" \t\n\x0b\x0c\r"
 _NULL = -(1 << 63)
@@ -122,7 +122,7 @@ def repeated_lines(docs: DataFrame, least_chars: int = 40, documents: int = 5, b
     return gone.groupBy(*_ROW).agg(F.collect_set(F.struct(*_KEY)).alias("gone"))
 
 
-def _drop(least: int, names: list[str], at: int):
+def _drop(least: int, names: list[str], at: int, counts_as: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             texts, counts, dropped = [], [], []
@@ -139,12 +139,13 @@ def _drop(least: int, names: list[str], at: int):
                 counts.append(n)
                 dropped.append(lost)
             columns = [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(len(names))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(dropped, pa.int64())], [*names, "_n_lines", "_n_dropped"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(dropped, pa.int64())], [*names, *counts_as])
     return run
 
 
 def dedup_lines(docs: DataFrame, least_chars: int = 40, documents: int = 5, batches: int = 4, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` with all columns, their text without repeated lines, and ``_n_lines`` (before) and ``_n_dropped``.
+    """The rows of ``docs`` with all columns, their text without repeated lines, and ``_n_lines`` (before) and ``_n_dropped``,
+    with more underscores where ``docs`` have columns of these names.
 
     A line's key is the line without ASCII white space at both ends, A-Z in lower case. Lines whose key has at least ``least_chars`` code points and stands
     in at least ``documents`` documents go, except in the largest id that holds it. Keys are compared by 128 hash bits.
@@ -153,14 +154,16 @@ def dedup_lines(docs: DataFrame, least_chars: int = 40, documents: int = 5, batc
     are smaller than any other; an empty table gives no rows. A line that stands in very many documents is combined before the shuffle, and joined
     back by a join that can be split; rows with one id, or none, are told apart by their texts, so a row is joined with at most its own keys.
     """
-    gone = materialise(repeated_lines(docs, least_chars, documents, batches, id_col, text)).withColumnsRenamed({"id": "_id", "version": "_version",
-                                                                                                               "gone": "_gone"})
     names = docs.columns
+    n_lines, n_dropped, own, version, lost = unused(names, "_n_lines", "_n_dropped", "_id", "_version", "_gone")
+    gone = materialise(repeated_lines(docs, least_chars, documents, batches, id_col, text))
+    gone = gone.withColumnsRenamed({"id": own, "version": version, "gone": lost})
     # a merge join at every size: the texts are shuffled once, in proportion to the input
-    same = (F.coalesce(F.col(id_col), F.lit(_NULL)).cast("long") == F.col("_id")) & (F.xxhash64(F.col(text)) == F.col("_version"))
+    same = (F.coalesce(F.col(id_col), F.lit(_NULL)).cast("long") == F.col(own)) & (F.xxhash64(F.col(text)) == F.col(version))
     joined = docs.join(gone.hint("merge"), same, "left")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", _n_lines long, _n_dropped long"
-    return joined.select(*[f"`{c}`" for c in names], "_gone").mapInArrow(_drop(least_chars, names, names.index(text)), schema)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", {n_lines} long, {n_dropped} long"
+    drop = _drop(least_chars, names, names.index(text), [n_lines, n_dropped])
+    return joined.select(*[f"`{c}`" for c in names], lost).mapInArrow(drop, schema)
 
 
 ORACLE = r"""

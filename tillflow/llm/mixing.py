@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..sources.writers import materialise
+from .pieces import unused
 
 # White space, and a word with the white space behind it.
 WHITE = " \t\n\x0b\f\r"
@@ -142,20 +143,22 @@ def apply_mix(docs: DataFrame, **options) -> DataFrame:
     Documents that the mix does not take are gone. Rows that agree in id, source and text are one row here, taken as often as all of
     them; of their other columns the smallest values stay.
     """
-    version, names = F.xxhash64(F.col("text")).alias("_version"), docs.columns
+    names = docs.columns
     rest = [c for c in names if c not in ("doc_id", "source", "text")]
-    taken = mix(docs.withColumn("_version", version), keep=["_version"], **options).filter("taken > 0")
-    taken = taken.groupBy("doc_id", "source", "_version").agg(F.sum("taken").alias("_taken"), F.first("size").alias("_size"))
-    taken = taken.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("_version").alias("_v"), "_taken", "_size")
-    unique = docs.withColumn("_version", version).groupBy("doc_id", "source", "_version").agg(
-        F.min("text").alias("text"), F.min(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("_rest") if rest else F.lit(None).alias("_rest"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_version") == F.col("_v"))
-    rows = unique.join(taken, same).withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(_taken + _size - 1) div _size - 1"))))
-    left = F.col("_taken") - F.col("_part") * F.col("_size")
+    version, others, own, origin, of, n, size, part = unused(names, "_version", "_rest", "_id", "_source", "_v", "_taken", "_size", "_part")
+    marked = docs.withColumn(version, F.xxhash64(F.col("text")))
+    taken = mix(marked, keep=[version], **options).filter("taken > 0")
+    taken = taken.groupBy("doc_id", "source", version).agg(F.sum("taken").alias(n), F.first("size").alias(size))
+    taken = taken.select(F.col("doc_id").alias(own), F.col("source").alias(origin), F.col(version).alias(of), n, size)
+    unique = marked.groupBy("doc_id", "source", version).agg(
+        F.min("text").alias("text"), F.min(F.struct(*[F.col(f"`{c}`") for c in rest])).alias(others) if rest else F.lit(None).alias(others))
+    same = F.col("doc_id").eqNullSafe(F.col(own)) & F.col("source").eqNullSafe(F.col(origin)) & (F.col(version) == F.col(of))
+    rows = unique.join(taken, same).withColumn(part, F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"({n} + {size} - 1) div {size} - 1"))))
+    left = F.col(n) - F.col(part) * F.col(size)
     words = F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
-    text = F.when(left >= F.col("_size"), F.col("text")).otherwise(F.array_join(F.slice(words, F.lit(1), left.cast("int")), ""))
+    text = F.when(left >= F.col(size), F.col("text")).otherwise(F.array_join(F.slice(words, F.lit(1), left.cast("int")), ""))
     rows = rows.withColumn("text", text)
-    return rows.select(*[F.col(c) if c in ("doc_id", "source", "text") else F.col("_rest")[c].alias(c) for c in names])
+    return rows.select(*[F.col(c) if c in ("doc_id", "source", "text") else F.col(others)[c].alias(c) for c in names])
 
 
 ORACLE = r"""

@@ -99,6 +99,17 @@ class PieceTable:
         return [flat[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+def unused(columns: Sequence[str], *names: str) -> list[str]:
+    """The names, each with as many underscores in front as it takes to be no column's name in any case of letters."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The batches in parts of few rows, so that what a worker makes of very long texts at once stays small."""
     for batch in batches:

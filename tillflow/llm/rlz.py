@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..sources.writers import materialise
-from .pieces import slices
+from .pieces import slices, unused
 
 _ONE = 1 << 64
 _SEED = np.random.default_rng(1851)
@@ -145,12 +145,12 @@ def _factor_rows(window: int):
     return run
 
 
-# what tells rows apart: the id, and a hash of the text where ids are repeated
+# what tells rows apart: the id, and 64 hash bits of the text where ids are repeated
 _ROW = ["id", "version"]
 
 
 def _rows(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(id_col), F.lit(_NULL)).cast("long").alias("id"), F.hash(F.col(text)).alias("version"), F.col(text).alias("text"))
+    return docs.select(F.coalesce(F.col(id_col), F.lit(_NULL)).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("version"), F.col(text).alias("text"))
 
 
 def parse(docs: DataFrame, window: int = 50, gram: int = 8, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -171,22 +171,22 @@ def parse(docs: DataFrame, window: int = 50, gram: int = 8, id_col: str = "doc_i
     least = prints.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first <> last").drop("last")
     copied = materialise(prints.join(materialise(least).hint("merge"), ["h1", "h2"]).filter("id <> first").select(*_ROW, "first").distinct())
 
-    found = rows.mapInArrow(_anchor_rows(window, gram), "id long, version int, anchor long")
+    found = rows.mapInArrow(_anchor_rows(window, gram), "id long, version long, anchor long")
     found = materialise(found.join(copied.select(*_ROW).hint("merge"), _ROW, "left_anti"))
     shared = materialise(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"))
     wanted = materialise(found.join(shared.hint("merge"), "anchor").groupBy(*_ROW).agg(F.collect_set("anchor").alias("anchors")))
     windows = rows.join(wanted.hint("merge"), _ROW).select(*_ROW, "text", "anchors")
-    windows = materialise(windows.mapInArrow(_window_rows(window, gram), "low long, high long, id long, version int, place int"))
+    windows = materialise(windows.mapInArrow(_window_rows(window, gram), "low long, high long, id long, version long, place int"))
     index = windows.groupBy("low", "high").agg(F.min(F.struct("id", "place")).alias("holder"), F.max("id").alias("last"))
     index = materialise(index.filter("last > holder.id").select("low", "high", "holder"))
     held = windows.join(index.hint("merge"), ["low", "high"]).filter("id > holder.id")
     held = held.groupBy(*_ROW).agg(F.collect_set(F.struct("place", F.col("holder.id").alias("block"), F.col("holder.place").alias("block_place"))).alias("held"))
-    parsed = held.mapInArrow(_factor_rows(window), f"id long, version int, factors {_FACTORS}")
+    parsed = held.mapInArrow(_factor_rows(window), f"id long, version long, factors {_FACTORS}")
     whole = F.array(F.struct(F.lit(0).alias("start"), F.lit((1 << 31) - 1).alias("words"), F.col("first").alias("reference"), F.lit(0).alias("reference_start")))
     return parsed.union(copied.select(*_ROW, whole))
 
 
-def _without(window: int, names: list[str], at: int):
+def _without(window: int, names: list[str], at: int, counts_as: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 256):
             texts, counts, removed = [], [], []
@@ -202,19 +202,21 @@ def _without(window: int, names: list[str], at: int):
                 kept = words if keep.all() else [words[i] for i in np.flatnonzero(keep).tolist()]
                 texts.append(b" ".join(kept).decode("utf-8", "surrogatepass"))
             columns = [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(len(names))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(removed, pa.int64())], [*names, "_n_words", "_n_removed"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(removed, pa.int64())], [*names, *counts_as])
     return run
 
 
 def remove_repeats(docs: DataFrame, window: int = 50, gram: int = 8, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` with all columns, their text without the words that lie in factors (kept words joined by one space), and ``_n_words`` and
-    ``_n_removed``.
+    ``_n_removed``, with more underscores where ``docs`` have columns of these names.
 
     Null and white texts have no words and become empty; an empty table gives no rows.
     """
-    spans = materialise(parse(docs, window, gram, id_col, text)).withColumnsRenamed({"id": "_id", "version": "_version", "factors": "_factors"})
     names = docs.columns
-    same = (F.coalesce(F.col(id_col), F.lit(_NULL)).cast("long") == F.col("_id")) & (F.hash(F.col(text)) == F.col("_version"))
+    n_words, n_removed, own, version, spans_of = unused(names, "_n_words", "_n_removed", "_id", "_version", "_factors")
+    spans = materialise(parse(docs, window, gram, id_col, text)).withColumnsRenamed({"id": own, "version": version, "factors": spans_of})
+    same = (F.coalesce(F.col(id_col), F.lit(_NULL)).cast("long") == F.col(own)) & (F.xxhash64(F.col(text)) == F.col(version))
     joined = docs.join(spans.hint("merge"), same, "left")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", _n_words long, _n_removed long"
-    return joined.select(*[f"`{c}`" for c in names], "_factors").mapInArrow(_without(window, names, names.index(text)), schema)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", {n_words} long, {n_removed} long"
+    without = _without(window, names, names.index(text), [n_words, n_removed])
+    return joined.select(*[f"`{c}`" for c in names], spans_of).mapInArrow(without, schema)
