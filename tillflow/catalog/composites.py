@@ -10,7 +10,6 @@ from ..operators.asof import asof_merge
 from ..operators.calendar import expand_intervals, zero_fill
 from ..operators.dedup import latest_per_key
 from ..operators.joins import with_group_value
-from ..operators.json_fields import flatten_json
 from ..operators.lifecycle import (churn_rates, lifecycle_summary, ltv_cac, tag_acquisition, tag_lifecycle, tag_status)
 from ..operators.margin import kpi_ratios, margin_waterfall, period_change, pivot_txn, split_signed, tax_included
 from ..operators.metrics import annual_totals, merge_metrics, reconcile, unmapped, with_baseline
@@ -22,6 +21,7 @@ from ..operators.sequence import (activity_within, attribute_history, conversion
                                   detect_increase, first_touch_funnel, sequence_events)
 from ..operators.subscriptions import effective_end, monthly_recurring, month_snapshot
 from ..operators.sweep import at_month_starts, by_day
+from ..operators.variants import flatten_variant
 from ..plans import finance, payments
 from ..sources.regions import region_union
 from ..sources.writers import number_batches
@@ -325,7 +325,7 @@ def _(s):
  coalesce({scalar('j', '$.consultFee')}, {scalar('j', '$[0].consultFee')})::bigint as fee from (select sys_id, prescription_order_calculation as j from t_app_order) x""")
 def _(s):
     fields = {"total": "bigint", "sub_total": ("subTotal", "bigint"), "is_consult": ("isConsult", "boolean"), "fee": ("consultFee", "bigint")}
-    return flatten_json(s["app_order"], "prescription_order_calculation", fields, strict=True).select("sys_id", *fields)
+    return flatten_variant(s["app_order"], "prescription_order_calculation", fields, strict=True).select("sys_id", *fields)
 
 
 CHANNEL_LINES = ["sales_channel", "region", "purchase_type", "customer_id", "charge_id", "purchase_date", "product_id", "product_name", "condition", "quantity",

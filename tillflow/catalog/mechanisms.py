@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -16,7 +17,8 @@ from ..operators.score_log import ScoreLog, score_pending, scored
 from ..operators.variants import parse_columns, variant_fields
 from ..plans import payments
 from ..sources import sheets
-from ..sources.writers import materialise
+from ..sources.views import create_views, read_query_file, read_view
+from ..sources.writers import materialise, materialise_buckets, staged_paths
 from .composites import letter_share
 from .hubs import AS_OF, START, scalar
 from .jobs import lines
@@ -96,6 +98,45 @@ def _(s):
     return sheets.read_sheet(s.spark, path, rows.schema.simpleString()[7:-1].replace(":", " "))
 
 
+# --- views ------------------------------------------------------------------------------------------------------------
+@query("SNK1_catalog_views", """select region, month, n_charges, refunded, refunded / n_charges as share from (select region, date_trunc('month', created)::date as month,
+ count(*) as n_charges, count(*) filter (where amount_refunded > 0) as refunded from t_charge where status = 'succeeded' group by 1, 2) x where n_charges > 5""", dates="month", r6="share")
+def _(s):
+    """Two views from query files, one on the other, read in another session."""
+    folder, name = scratch(s, "queries"), uuid.uuid4().hex
+    facts = materialise(s["charge"].select("region", "created", "status", "amount_refunded"))
+    paths = ", ".join(f"'{p}'" for p in staged_paths(facts))
+    texts = {f"monthly_{name}": f"""select region, cast(trunc(created, 'MM') as date) as month, count(*) as n_charges, count_if(amount_refunded > 0) as refunded
+              from parquet.{paths.replace("'", "`")} where status = 'succeeded' group by 1, 2;""",
+             f"a_share_{name}": f"select *, refunded / n_charges as share from monthly_{name} where n_charges > 5"}
+    for view, text in texts.items():
+        s.spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{folder}/{view}.sql")
+    # a file written by Spark is a folder; the views come from the files in them
+    create_views(s.spark, {view: read_query_file(s.spark, f"{folder}/{view}.sql").strip().rstrip(";") for view in texts})
+    return read_view(s.spark.newSession(), f"a_share_{name}")
+
+
+# --- tables kept in buckets -----------------------------------------------------------------------------------------------
+@query("JN2_bucketed_chain", """select c.id as charge_id, i.billing_reason, l.price_id, l.quantity, l.amount from t_charge c left join t_invoice i on i.id = c.invoice_id
+ left join t_invoice_line_item l on l.invoice_id = i.id where c.status = 'succeeded'""")
+def _(s):
+    return invoice_chain(*bucketed_by_invoice(s)).select("charge_id", "billing_reason", "price_id", "quantity", "amount")
+
+
+def bucketed_by_invoice(s) -> list[DataFrame]:
+    """Charges, invoices and invoice lines, each kept in buckets of the invoice they belong to."""
+    charge = s["charge"].filter("status = 'succeeded'").select(c("id").alias("charge_id"), "invoice_id")
+    invoice = s["invoice"].select(c("id").alias("invoice_id"), "billing_reason")
+    line = s["invoice_line_item"].select("invoice_id", "price_id", "quantity", "amount")
+    return [materialise_buckets(t, ["invoice_id"]) for t in (charge, invoice, line)]
+
+
+def invoice_chain(charge: DataFrame, invoice: DataFrame, line: DataFrame) -> DataFrame:
+    """The chain of joins over the invoice; every side lies in its buckets, so none is moved."""
+    named = invoice.join(line, "invoice_id", "left")
+    return charge.join(named, "invoice_id", "left")
+
+
 # --- refreshed tables -------------------------------------------------------------------------------------------------
 @query("SNK4_refreshed_hub", "select * from h_metrics", dates="obs_date created_at ended_at", r6="mrr_local mrr_usd")
 def _(s):

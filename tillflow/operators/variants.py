@@ -46,9 +46,17 @@ def variant_fields(df: DataFrame, col: str, fields: Mapping[str, str | tuple[str
     specs = {name: spec if isinstance(spec, tuple) else (name, spec) for name, spec in fields.items()}
     values = {name: F.try_variant_get("_record", "$" + _path(path), "variant") for name, (path, _) in specs.items()}
     held = held.withColumn("_values", F.struct(*[v.alias(name) for name, v in values.items()]))
+    held = held.withColumn("_texts", F.struct(*[F.try_variant_get(F.col(f"_values.`{name}`"), "$", "string").alias(name) for name in specs]))
     out = {}
     for name, (_, kind) in specs.items():
-        value = F.col(f"_values.`{name}`")
-        text = F.when(is_scalar(value), F.try_variant_get(value, "$", "string"))
-        out[name] = text.cast(kind) if strict else text.try_cast(kind)
-    return held.withColumns(out).drop("_record", "_values")
+        text = F.col(f"_texts.`{name}`")
+        # only a value that begins like an object or array needs its type looked at
+        kept = F.when(~F.substring(text, 1, 1).isin("{", "[") | is_scalar(F.col(f"_values.`{name}`")), text)
+        out[name] = kept.cast(kind) if strict else kept.try_cast(kind)
+    return held.withColumns(out).drop("_record", "_values", "_texts")
+
+
+def flatten_variant(df: DataFrame, col: str, fields: Mapping[str, str | tuple[str, str]], or_first_element: bool = True, strict: bool = False) -> DataFrame:
+    """:func:`variant_fields` of a text column that is parsed here, once per row, and not kept."""
+    parsed = parse_columns(df, [col], suffix="_parsed")
+    return variant_fields(parsed, f"{col}_parsed", fields, or_first_element, strict).drop(f"{col}_parsed")

@@ -99,8 +99,8 @@ def normalize_sales(channels: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, channels)
 
 
-def stripe_sales(t: Tables, cost: DataFrame) -> DataFrame:
-    """Card charges by invoice line.
+def stripe_sales(t: Tables, cost: DataFrame, priced: DataFrame | None = None) -> DataFrame:
+    """Card charges by invoice line. ``priced`` is a staged :func:`price_products`, for jobs that read it several times.
 
     The one-to-one joins come first; the acquisition date is taken at charge grain, before the lines fan out. The joined
     charges are staged, because the first dates and the lines both read them.
@@ -122,10 +122,11 @@ def stripe_sales(t: Tables, cost: DataFrame) -> DataFrame:
     invoice = t["invoice"].select(F.col("id").alias("invoice_id"), "subscription_id", "billing_reason", "subtotal")
     line = t["invoice_line_item"].select("invoice_id", F.col("subscription_id").alias("line_subscription_id"),
                                          F.col("price_id").alias("line_price"), "quantity", F.col("amount").alias("line_amount"))
-    sold = price_products(t).select(F.col("price_id").alias("px_price"), F.col("product_id").alias("px_product"),
+    priced = price_products(t) if priced is None else priced
+    sold = priced.select(F.col("price_id").alias("px_price"), F.col("product_id").alias("px_product"),
                                     F.col("product_name").alias("px_name"), F.col("condition").alias("px_condition"),
                                     "recurring_interval", "recurring_interval_count")
-    tele = (price_products(t, "inner").filter(F.lower("product_name").contains("tele"))
+    tele = (priced.filter(F.lower("product_name").contains("tele"))
             .select(F.col("price_id").alias("tel_price"), F.col("product_id").alias("tel_product"),
                     F.col("product_name").alias("tel_name"), F.col("condition").alias("tel_condition")))
     price_cost = cost.select("price_id", "from_date", "to_date", "cogs", "packaging", "cashback")
@@ -235,7 +236,7 @@ def cod_sales(t: Tables, boxes: DataFrame, orders: DataFrame, region: str) -> Da
         packaging=F.col("packaging_cost") / fx, acquisition_date="acquisition_date")
 
 
-def atome_sales(t: Tables, tax: DataFrame, cost: DataFrame) -> DataFrame:
+def atome_sales(t: Tables, tax: DataFrame, cost: DataFrame, priced: DataFrame | None = None) -> DataFrame:
     """Instalment orders: signed transactions summed per order; orders without a positive amount are dropped."""
     # per order first: the sums and the order date shrink the sheet to one row per order, currency and tax rate
     txn = asof_range_join(with_rate(t["atome_manual"], "currency", t["fx"]), tax.withColumnRenamed("rate", "gst_vat"),
@@ -250,7 +251,8 @@ def atome_sales(t: Tables, tax: DataFrame, cost: DataFrame) -> DataFrame:
         "short_id", "sys_id", "patient_id", "stripe_subscription_id", "stripe_payment_intent_id",
         F.coalesce("prescription_price_id", "price_id").alias("wanted"))
     patient = t["patient"].select(F.col("sys_id").alias("patient_id"), "email", F.col("from_platform_env").alias("brand"))
-    sold = price_products(t).select(F.col("price_id").alias("px"), "product_id", "product_name", "condition")
+    priced = price_products(t) if priced is None else priced
+    sold = priced.select(F.col("price_id").alias("px"), "product_id", "product_name", "condition")
     price_cost = cost.select("price_id", "from_date", "to_date", "cogs", "packaging", "cashback")
     rows = with_group_value(sums.join(order, "short_id", "left"), ["patient_id"], acquisition_date=F.min("order_date"))
     rows = rows.join(patient, "patient_id", "left").join(sold, F.col("wanted") == F.col("px"), "left")
@@ -271,10 +273,12 @@ def contribution_margin(t: Tables) -> DataFrame:
     """Order lines of the seven sales channels with new/existing flag and subscription start (hub)."""
     tax, boxes = tax_rate_history(t), product_cost_per_box(t["product_cost"])
     cost, market = product_cost(t, boxes), marketplace_costs(t)
+    # cards, teleconsultations and instalments read the same prices with their JSON fields
+    priced = materialise(price_products(t))
     lines = normalize_sales([
-        stripe_sales(t, cost), tiktok_sales(t, market["tiktok"]), shopee_sales(t, market["shopee"]),
+        stripe_sales(t, cost, priced), tiktok_sales(t, market["tiktok"]), shopee_sales(t, market["shopee"]),
         cod_sales(t, boxes, cod_sg_orders(t), "sg"), cod_sales(t, boxes, cod_hk_orders(t), "hk"),
-        lazada_sales(t, market["lazada"]), atome_sales(t, tax, cost)])
+        lazada_sales(t, market["lazada"]), atome_sales(t, tax, cost, priced)])
     # one tax lookup for all channels; instalment orders bring the rate of their transaction date
     lines = asof_range_join(lines, tax, {"region": "region"}, "purchase_date")
     lines = lines.withColumn("gst_vat", F.when(F.col("sales_channel") == "Atome", F.col("gst_vat")).otherwise(F.col("rate")))

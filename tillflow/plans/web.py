@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import PAGE_MEDIUMS, PAGE_SOURCES, map_channel, parse_datetime, regex_group
 from ..functions.scalars import json_scalar
 from ..operators.dedup import latest_per_key
-from ..operators.json_fields import flatten_json
 from ..operators.metrics import merge_metrics
 from ..operators.sequence import daily_counts, first_touch_funnel
+from ..operators.variants import flatten_variant
 from ..sources.regions import all_regions
 from .payments import condition_of
 
@@ -134,7 +134,7 @@ def cod_order_breakdown(t: Tables, region: str, month: str) -> DataFrame:
     product = t["product"].select(F.col("id").alias("product_id"), F.col("name").alias("product_name"))
     rows = (orders.withColumn("price_id", F.coalesce("prescription_price_id", "price_id"))
             .join(price, "price_id", "left").join(product, "product_id", "left"))
-    typed = flatten_json(rows, "prescription_order_calculation", CALCULATION_FIELDS)
+    typed = flatten_variant(rows, "prescription_order_calculation", CALCULATION_FIELDS)
     return typed.select("short_id", "sys_id", F.to_date("created_at").alias("created_date"), "status", "phone_number", "price_id",
                         "product_id", "product_name", F.col("total").alias("total_amount"),
                         *[c for c in CALCULATION_FIELDS if c != "total"], "prescription_order_calculation")
@@ -147,7 +147,7 @@ def atome_parsed(t: Tables) -> DataFrame:
         F.col("status").alias("order_status"), F.col("updated_by").alias("order_updated_by"),
         F.col("stripe_subscription_id").alias("subscription_id"), "prescription_order_calculation")
     rows = t["atome_payments"].join(order, "ordersysid", "left")
-    typed = flatten_json(flatten_json(rows, "webhook_payload", PAYLOAD_FIELDS, or_first_element=False),
+    typed = flatten_variant(flatten_variant(rows, "webhook_payload", PAYLOAD_FIELDS, or_first_element=False),
                          "prescription_order_calculation", CALCULATION_FIELDS)
     return typed.select("external_platform_id", F.to_date("created_at").alias("created_at"), F.to_date("updated_at").alias("updated_at"),
                         "sys_id", "ordersysid", "patientsysid", "price_id", F.col("status").alias("atome_status"), "order_status",

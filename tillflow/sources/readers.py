@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from .views import read_query_file
+
 
 class Tables(Mapping[str, DataFrame]):
     """Named tables, read on first use from ``root/<name>`` or ``root/<name>.parquet``."""
@@ -36,14 +37,17 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str, **options
 
 
 def read_sheet_range(spark: SparkSession, path: str, schema: StructType | str, required: str) -> DataFrame:
-    """Spreadsheet export: title rows above and blank rows below the data have no ``required`` value."""
+    """Spreadsheet export: title rows above and blank rows below the data have no ``required`` value.
+
+    A data row whose ``required`` cell does not fit its type is taken for one of those; where that matters, name the range of cells (``sheets.read_sheet``).
+    """
     return read_csv(spark, path, schema, mode="PERMISSIVE").filter(F.col(required).isNotNull())
 
 
 def run_query_file(spark: SparkSession, path: str, args: Mapping[str, object] | None = None,
                    **tables: DataFrame) -> DataFrame:
-    """Run the Spark SQL text of a file. ``{name}`` markers become the given frames, ``:name`` markers arguments."""
-    return spark.sql(Path(path).read_text(), args=dict(args or {}) or None, **tables)
+    """Run the Spark SQL text of a file in any storage that Spark reads. ``{name}`` markers become the given frames, ``:name`` markers arguments."""
+    return spark.sql(read_query_file(spark, path), args=dict(args or {}) or None, **tables)
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
