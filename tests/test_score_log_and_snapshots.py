@@ -137,3 +137,23 @@ def test_a_failed_refresh_changes_nothing(spark, tmp_path):
     with pytest.raises(RuntimeError, match="another refresh"):
         slow.replace(df)
     assert sorted(map(tuple, table.read().collect())) == [(1, "a"), (2, "b")]
+
+
+def test_a_rolling_extract(spark, tmp_path):
+    schema = "id int, day date"
+    rows = lambda *days: spark.createDataFrame([(i * 100 + d, day(d)) for d in days for i in range(3)], schema)
+    table = PartitionedTable(spark, str(tmp_path / "t"), rows(0).schema, ["day"])
+    content = lambda: sorted((r.id, r.day) for r in table.read().collect())
+    table.roll(rows(*range(10)), day(4))
+    assert content() == sorted((i * 100 + d, day(d)) for d in range(4, 10) for i in range(3))
+    before = {p.day: p.run for p in table.partitions().collect()}
+    # two days expire, two are new; what changed on an old day is not looked at
+    table.roll(rows(*range(12)).withColumn("id", F.col("id") + 1), day(6))
+    after = {p.day: p.run for p in table.partitions().collect()}
+    assert sorted(after) == [day(d) for d in range(6, 12)] and all(after[day(d)] == before[day(d)] for d in range(6, 10))
+    assert content() == sorted((i * 100 + d + (d > 9), day(d)) for d in range(6, 12) for i in range(3))
+    # late changes: the last days anew, and one that has no rows any more goes
+    table.roll(rows(8, 10), day(6), changed_since=day(9))
+    assert content() == sorted((i * 100 + d, day(d)) for d in (6, 7, 8, 10) for i in range(3))
+    with pytest.raises(ValueError, match="one day"):
+        PartitionedTable(spark, str(tmp_path / "u"), rows(0).schema, ["day", "id"]).roll(rows(1), day(0))

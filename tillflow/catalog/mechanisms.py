@@ -17,6 +17,7 @@ from ..operators.score_log import ScoreLog, score_pending, scored
 from ..operators.variants import parse_columns, variant_fields
 from ..plans import payments
 from ..sources import sheets
+from ..sources.snapshots import PartitionedTable
 from ..sources.views import create_views, read_query_file, read_view
 from ..sources.writers import materialise, materialise_buckets, staged_paths
 from .composites import letter_share
@@ -149,6 +150,16 @@ def _(s):
     return hub.read().drop("month")
 
 
+@query("SNK4_rolled_extract", """select o_orderkey, o_custkey, o_totalprice, o_orderdate::date as day from orders where o_orderdate::date between date '2000-03-30' and date '2000-06-30'""", dates="day", r2="o_totalprice")
+def _(s):
+    """A rolling extract of three months, made as of one month and rolled on to the next: a month of days is written, a month of folders goes."""
+    orders = s.base("orders").select("o_orderkey", "o_custkey", "o_totalprice", F.to_date("o_orderdate").alias("day"))
+    table = PartitionedTable(s.spark, scratch(s, "rolling"), orders.schema, ["day"])
+    for as_of in ("2000-05-31", "2000-06-30"):
+        table.roll(orders.filter(c("day") <= F.lit(as_of).cast("date")), first=F.add_months(F.lit(as_of).cast("date"), -3))
+    return table.read()
+
+
 # --- differences, lists, funnels, scoring ------------------------------------------------------------------------------
 CHANGED = """select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, case when l_returnflag = 'R' and l_linenumber = 1 then l_extendedprice + 1 else l_extendedprice end as price
  from lineitem where not (l_linestatus = 'F' and l_linenumber = 7)"""

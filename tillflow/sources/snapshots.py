@@ -94,6 +94,25 @@ class PartitionedTable:
             raise RuntimeError(f"another refresh of {self.path} was faster")
         return base + 1
 
+    def roll(self, rows: DataFrame, first, changed_since=None) -> int:
+        """Make the table a rolling extract: the days of ``rows`` from ``first`` on. The table is kept by one date column.
+
+        Partitions before ``first`` go. Days that the table lacks are written, and with ``changed_since`` those from that day on are written anew; all other
+        partitions stay as they are, without being read. Returns the new version.
+        """
+        if len(self.by) != 1:
+            raise ValueError(f"a rolling extract is kept by one day, not by {self.by}")
+        day = self.by[0]
+        stored = self.partitions().select(day).distinct()
+        within = rows.filter(F.col(day) >= F.lit(first).cast("date"))
+        expired = stored.filter(F.col(day) < F.lit(first).cast("date"))
+        old = stored.filter(F.col(day) < F.lit(changed_since).cast("date")) if changed_since is not None else stored
+        # the list of partitions is small, so this is a filter on days that reaches the scan of rows
+        fresh = within.join(old, day, "left_anti")
+        again = stored.join(old, day, "left_anti")
+        touched = expired.unionByName(again).unionByName(fresh.select(day)).distinct()
+        return self.replace(fresh, touched)
+
     def vacuum(self, versions: int = 1) -> None:
         """Delete what the last ``versions`` states do not hold: runs without a partition in them, and older lists."""
         newest = self.version()
