@@ -100,3 +100,58 @@ def test_piece_table_starts_anew():
         got = table.ids([pieces, [], pieces[:1]])
         assert [x.tolist() for x in got] == [[int(p) for p in ps for _ in range(int(p) % 3)] for ps in (pieces, [], pieces[:1])]
     assert len(table.slot) <= 14
+
+
+def changed_rules(tmp_path):
+    """The word tokenizer without its lower-casing, so that words can't be taken for their lower-cased letters."""
+    import json
+    rules = json.load(open(WORDS, encoding="utf-8"))
+    rules["normalizer"]["normalizers"] = rules["normalizer"]["normalizers"][:-1]
+    path = tmp_path / "cased.json"
+    path.write_text(json.dumps(rules), encoding="utf-8")
+    return str(path)
+
+
+def test_files_with_other_rules_go_through_the_library(spark, tmp_path):
+    path = changed_rules(tmp_path)
+    assert orc_ids.has_word_rules(WORDS) and not orc_ids.has_word_rules(path)
+    cases = [(1, "Upper Case WORDS and lower ones"), (2, None), (3, "  "), (4, "ÀÉ ÿ. Straße, don't")]
+    library = Tokenizer.from_file(path)
+    expected = sorted((i, [*library.encode(t or "", add_special_tokens=False).ids, 2]) for i, t in cases)
+    out = str(tmp_path / "ids")
+    orc_ids.write_token_ids(documents(spark, cases), path, out, 2)
+    assert sorted((r.doc_id, r.ids) for r in orc_ids.read_token_ids(spark, out).collect()) == expected
+    assert expected != sorted((i, [*Tokenizer.from_file(WORDS).encode(t or "", add_special_tokens=False).ids, 2]) for i, t in cases)
+
+
+def test_the_word_table_is_bounded_by_bytes():
+    table = orc_ids.WordTable(WORDS, 2, limit_bytes=1000)
+    library = Tokenizer.from_file(WORDS)
+    for i in range(50):
+        words = [f"{i}q".encode() * 40, b"again", f"w{i}".encode()]
+        flat, cuts = table.flat_ids([[*words, b""]])
+        assert flat.tolist() == [*library.encode(b" ".join(words).decode(), add_special_tokens=False).ids, 2]
+        assert table.held <= 1000 + 200
+
+
+def test_a_hot_id_is_split_and_parts_with_several_files_stay_in_order(spark, tmp_path):
+    cases = [(None, f"text number {i} " + "word " * (i % 50)) for i in range(3000)] + [(7, f"other {i}") for i in range(500)] + [(i, f"t {i}") for i in range(100, 400)]
+    docs = documents(spark, cases)
+    out = str(tmp_path / "ids")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "300")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1k")
+    try:
+        orc_ids.write_token_ids(docs, WORDS, out, 2)
+    finally:
+        for key in ("spark.sql.files.maxRecordsPerFile", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize"):
+            spark.conf.unset(key)
+    rows = orc_ids.document_offsets(spark, out).collect()
+    assert len({r.file.split("-")[1] for r in rows if r.doc_id is None}) > 1
+    at, last = 0, None
+    for r in sorted(rows, key=lambda r: r.start):
+        assert r.start == at
+        at += r.n_tokens
+        assert last is None or r.doc_id is not None and r.doc_id >= last
+        last = r.doc_id
+    assert len(rows) == len(cases)

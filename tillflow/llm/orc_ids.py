@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import gc
+import json
 import re
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -70,19 +71,69 @@ class WordEncoder:
         return out
 
 
+class WordTable(PieceTable):
+    """Ids of the stretches met before, started anew at ``limit`` stretches or ``limit_bytes`` of them, whichever comes first."""
+
+    def __init__(self, path: str, end_id: int, limit: int = 1_400_000, limit_bytes: int = 64 << 20):
+        self.limit_bytes = limit_bytes
+        super().__init__(WordEncoder(path, end_id), limit)
+
+    def clear(self) -> None:
+        super().clear()
+        self.held = 0
+
+    def _fill(self) -> None:
+        self.held += sum(map(len, self.slot.new))
+        super()._fill()
+
+    def flat_ids(self, lists: Sequence[Sequence]) -> tuple[np.ndarray, np.ndarray]:
+        if self.held > self.limit_bytes:
+            self.clear()
+        return super().flat_ids(lists)
+
+
+# The rules under which a text can be encoded stretch by stretch as WordEncoder does.
+WORD_RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
+
+
+def has_word_rules(path: str) -> bool:
+    """Whether the tokenizer's file normalizes and cuts by ``WORD_RULES``."""
+    with open(path, encoding="utf-8") as file:
+        rules = json.load(file)
+    return all(rules.get(name) == rule for name, rule in WORD_RULES.items())
+
+
 @lru_cache(maxsize=2)
-def _table(path: str, end_id: int) -> PieceTable:
-    """One table per worker, file and end id. Its many small objects hold no cycles, so they are kept from the garbage collector."""
+def text_encoder(path: str, end_id: int) -> Callable[[Sequence[str | None]], tuple[np.ndarray, np.ndarray]]:
+    """One function per worker, file and end id: the ids of texts one after the other, ``end_id`` behind each, and where each begins and ends.
+
+    Where the file follows ``WORD_RULES`` the texts go stretch by stretch through a table, else whole through the library. The table's many small objects
+    hold no cycles, so they are kept from the garbage collector.
+    """
+    if not has_word_rules(path):
+        tokenizer = library_tokenizer(path)
+
+        def whole(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
+            found = [[*e.ids, end_id] for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+            flat = np.concatenate([np.array(ids, np.uint32) for ids in found]) if found else np.zeros(0, np.uint32)
+            return flat, np.cumsum([0, *map(len, found)])
+        return whole
     gc.freeze()
     gc.set_threshold(200_000, 100, 100)
-    return PieceTable(WordEncoder(path, end_id), limit=1_400_000)
+    table = WordTable(path, end_id)
+    return lambda texts: table.flat_ids([[*(t or "").encode().split(), _END] for t in texts])
 
 
 def _encoded(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, row = _table(path, end_id), 0
+        encode, row = text_encoder(path, end_id), 0
         for batch in slices(batches, 64):
-            flat, cuts = table.flat_ids([[*(t or "").encode().split(), _END] for t in batch.column(1).to_pylist()])
+            flat, cuts = encode(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(np.arange(row, row + batch.num_rows)), pa.array(np.diff(cuts)),
                  pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(flat.view(np.int32)))], ["doc_id", "row", "n_tokens", "ids"])
@@ -93,13 +144,14 @@ def _encoded(path: str, end_id: int):
 def write_token_ids(docs: DataFrame, tokenizer: str, out: str, end_id: int, id_col: str = "doc_id", text: str = "text") -> None:
     """Write ``out/*.orc`` with doc_id, row (in its shard), n_tokens and ids, in ascending doc_id order.
 
-    The texts are dealt out by ranges of the id and sorted inside a range before they are encoded, so the files stand in order and what is
-    shuffled is text, which is smaller than its ids. Each file carries row indexes, and Bloom filters on doc_id. The tokenizer must
-    drop white space and cut at it (its file says so); ids go below 2^31. Null texts count as empty and so have the end id alone.
+    The texts are dealt out by ranges of the id, and of their first letters where many rows have one id or none, and sorted inside a range before they are
+    encoded, so the files stand in order and what is shuffled is text, which is smaller than its ids. Each file carries row indexes, and Bloom
+    filters on doc_id. Ids of tokens go below 2^31. Null texts count as empty and so have the end id alone.
     Rows with equal ids are ordered by text; null ids come first.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
-    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # the order by text begins with that by its first letters, which is all that the choice of the ranges collects
+    rows = rows.repartitionByRange("doc_id", F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
     kind = docs.schema[id_col].dataType.simpleString()
     rows.mapInArrow(_encoded(tokenizer, end_id), f"doc_id {kind}, row long, n_tokens long, ids array<int>").write.options(**ORC_OPTIONS).orc(out)
 
@@ -117,8 +169,9 @@ def document_offsets(spark: SparkSession, path: str) -> DataFrame:
     """
     rows = spark.read.orc(path).select("doc_id", "row", "n_tokens", F.col("_metadata.file_name").alias("file"))
     files = rows.groupBy("file").agg(F.sum("n_tokens").alias("n"))
-    # part files are numbered by range
-    order = W.orderBy(F.regexp_extract("file", r"part-(\d+)", 1).cast("int"))
+    # part files are numbered by range, and the files of one part in the order in which they were written
+    number = lambda pattern: F.regexp_extract("file", pattern, 1).cast("int")
+    order = W.orderBy(number(r"part-(\d+)"), number(r"-c(\d+)\."))
     before = F.coalesce(F.sum("n").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     files = files.select("file", before.alias("_before"))
     inside = F.coalesce(F.sum("n_tokens").over(W.partitionBy("file").orderBy("row").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))

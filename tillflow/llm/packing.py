@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .orc_ids import _table as word_table
+from .orc_ids import text_encoder
 from .pieces import slices
 
 # a piece that is placed: document (place in its block), first id, length
@@ -179,11 +179,11 @@ def _packer(path: str, end_id: int, room: int, most_gap: int, block_tokens: int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nonlocal kind
-        table, block = word_table(path, end_id), _Block()
+        encode, block = text_encoder(path, end_id), _Block()
         sequence = TaskContext.get().partitionId() << 33
         for batch in slices(batches, 64):
             kind = batch.schema.field(0).type
-            flat, cuts = table.flat_ids([[*(t or "").encode().split(), b""] for t in batch.column(1).to_pylist()])
+            flat, cuts = encode(batch.column(1).to_pylist())
             for doc_id, a, b in zip(batch.column(0).to_pylist(), cuts, cuts[1:], strict=False):
                 block.add(doc_id, flat[a:b])
             if block.held >= block_tokens:
@@ -205,7 +205,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, room: int = 2048, most_ga
     the emptiest windows, and what is left at last ends at powers of two; with 0 no sequence needs padding at all, with more fewer documents are cut.
 
     Each task packs blocks of about ``block_tokens`` ids of its own rows, so nothing is shuffled and a task holds one block; its sequences are
-    numbered from its partition's number, and a task that runs again makes all of its sequences anew. The tokenizer must drop white space and cut at it.
+    numbered from its partition's number, and a task that runs again makes all of its sequences anew.
 
     Null and empty texts have the end id alone. Each row is a document of its own, also with a null or repeated id or equal to another row. An
     empty table gives no rows. Other columns of ``docs`` are not read, so their names cannot clash.
