@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from tillflow.operators.calendar import zero_fill
 from tillflow.session import tuned
 from tillflow.sources.writers import materialise
+from tillflow.testbed.tables import ShopTables
 
 
 def test_a_table_with_small_files_is_not_broadcast_whole(spark):
@@ -15,3 +17,15 @@ def test_a_table_with_small_files_is_not_broadcast_whole(spark):
     assert joined.collect()[0].n == 18_000
     # the plan as run, after the sizes were measured
     assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_zero_months_are_neither_moved_nor_aggregated(spark):
+    rows = spark.createDataFrame([("a", "2000-01-05", 1.0), ("a", "2000-01-09", 2.0), ("a", "2000-04-01", None), ("a", "2000-07-01", 5.0),
+                                  (None, "2000-05-02", 4.0), ("b", None, 7.0), ("c", "2000-08-01", None)], "k string, d string, v double").withColumn("d", F.to_date("d"))
+    filled = zero_fill(rows, ["k"], "d", "v", end="2000-05-20", floor="2000-01-01")
+    assert sorted(((r.k or "", str(r.d), r.v) for r in filled.collect()), key=str) == sorted([
+        ("a", "2000-01-01", 3.0), ("a", "2000-02-01", 0.0), ("a", "2000-03-01", 0.0), ("a", "2000-04-01", 0.0), ("a", "2000-05-01", 0.0), ("a", "2000-07-01", 5.0),
+        ("", "2000-05-01", 4.0), *[("b", f"2000-0{m}-01", 0.0) for m in range(1, 6)], ("b", "None", 7.0), ("c", "2000-08-01", None)], key=str)
+    plan = filled._jdf.queryExecution().optimizedPlan().toString()
+    # the explode is the last step: nothing above it groups its rows
+    assert "Aggregate" not in plan.split("Generate explode")[0]
