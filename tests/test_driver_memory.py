@@ -1,8 +1,10 @@
 """What is held on the driver and in one task: broadcast sizes, calendars filled without moving their zero rows."""
 
+from conftest import SF
 from pyspark.sql import functions as F
 
 from tillflow.operators.calendar import zero_fill
+from tillflow.plans import payments
 from tillflow.session import tuned
 from tillflow.sources.writers import materialise
 from tillflow.testbed.tables import ShopTables
@@ -29,3 +31,8 @@ def test_zero_months_are_neither_moved_nor_aggregated(spark):
     plan = filled._jdf.queryExecution().optimizedPlan().toString()
     # the explode is the last step: nothing above it groups its rows
     assert "Aggregate" not in plan.split("Generate explode")[0]
+
+
+def test_charge_history_explodes_after_its_last_shuffle(spark):
+    plan = payments.charge_history(ShopTables(tuned(spark), SF), "2001-06-30", "1995-01-01")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1 and "Aggregate" not in plan.split("Generate explode")[0]
