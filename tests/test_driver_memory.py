@@ -4,7 +4,7 @@ from conftest import SF
 from pyspark.sql import functions as F
 
 from tillflow.operators.calendar import zero_fill
-from tillflow.plans import payments
+from tillflow.plans import finance, payments
 from tillflow.session import tuned
 from tillflow.sources.writers import materialise
 from tillflow.testbed.tables import ShopTables
@@ -36,3 +36,11 @@ def test_zero_months_are_neither_moved_nor_aggregated(spark):
 def test_charge_history_explodes_after_its_last_shuffle(spark):
     plan = payments.charge_history(ShopTables(tuned(spark), SF), "2001-06-30", "1995-01-01")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Generate explode") == 1 and "Aggregate" not in plan.split("Generate explode")[0]
+
+
+def test_the_hub_moves_its_wide_lines_once(spark):
+    """Prices, costs and lines are joined by the line's price; starts of subscriptions before the lines fan out."""
+    plan = finance.contribution_margin(ShopTables(tuned(spark), SF))._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    line = next(i for i, text in enumerate(plan) if "Join LeftOuter" in text and "_rg_price_id" in text and "line_price" in text)
+    assert not any("subscription_created_date" in text for text in plan[line + 1:line + 2])
+    assert not any("px_price" in text and "_rg_price_id" in text for text in plan)
