@@ -44,3 +44,10 @@ def test_the_hub_moves_its_wide_lines_once(spark):
     line = next(i for i, text in enumerate(plan) if "Join LeftOuter" in text and "_rg_price_id" in text and "line_price" in text)
     assert not any("subscription_created_date" in text for text in plan[line + 1:line + 2])
     assert not any("px_price" in text and "_rg_price_id" in text for text in plan)
+
+
+def test_the_hub_plans_its_channels_one_by_one(spark):
+    """Of the channels only the cards are left in the plan of the hub: the others are read as they were staged."""
+    plan = finance.contribution_margin(ShopTables(tuned(spark), SF))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") <= 15
+    assert not any(sheet in plan for sheet in ("buyer_username", "username_buyer_", "seller_sku", "atome_order_id", "awb_no"))
