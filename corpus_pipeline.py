@@ -42,7 +42,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, as packed unsigned 32-bit integers, and the hash of the text that they decode to."""
     import public_tokenizers
     ranks = public_tokenizers.path(RANKS)
-    out = bpe_transducer.decode(bpe_transducer.encode(docs, ranks), ranks)
+    out = bpe_transducer.encode_and_decode(docs, ranks)
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
                       F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 

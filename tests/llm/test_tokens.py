@@ -155,3 +155,12 @@ def test_a_hot_id_is_split_and_parts_with_several_files_stay_in_order(spark, tmp
         assert last is None or r.doc_id is not None and r.doc_id >= last
         last = r.doc_id
     assert len(rows) == len(cases)
+
+
+def test_encoding_and_decoding_share_a_worker(spark):
+    docs = documents(spark, [(i, t) for i, t in enumerate(["", None, "one two  three", "naïve 中文\n\n x", "one two"])])
+    both = bpe_transducer.encode_and_decode(docs, RANKS)
+    apart = bpe_transducer.decode(bpe_transducer.encode(docs, RANKS), RANKS)
+    key = lambda r: r.doc_id
+    assert both.columns == apart.columns and sorted(both.collect(), key=key) == sorted(apart.collect(), key=key)
+    assert both._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1

@@ -261,6 +261,22 @@ def decoder(path: str) -> Decoder:
     return Decoder(path)
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], path: str, id_col: str) -> Iterator[pa.RecordBatch]:
+    """Batches of id and text as id and ``ids``."""
+    coder = codec(path)
+    for batch in slices(batches, 64):
+        packed = [ids.astype("<u4").tobytes() for ids in coder.encode([t or "" for t in batch.column(1).to_pylist()])]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], [id_col, "ids"])
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], path: str, id_col: str) -> Iterator[pa.RecordBatch]:
+    """Batches of id and ``ids`` as id, ``ids`` and ``text``."""
+    coder = decoder(path)
+    for batch in slices(batches):
+        texts = ["".join(coder.decode(np.frombuffer(ids or b"", "<u4"))) for ids in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], [id_col, "ids", "text"])
+
+
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: id and ``ids``, the tokens by the ranks at ``path`` as packed little-endian unsigned 32-bit integers.
 
@@ -268,18 +284,20 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text
     independent of each other, so repeated rows and lost executors change nothing. Other columns are not read.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = codec(path)
-        for batch in slices(batches, 64):
-            packed = [ids.astype("<u4").tobytes() for ids in coder.encode([t or "" for t in batch.column(1).to_pylist()])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], [id_col, "ids"])
+        yield from _encoded(batches, path, id_col)
     return docs.select(id_col, text).mapInArrow(run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, ids binary")
 
 
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
     """Per row of ``encode``: id, ``ids`` and ``text``, decoded in parts. Null ids give an empty text; an unknown id is an error."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = decoder(path)
-        for batch in slices(batches):
-            texts = ["".join(coder.decode(np.frombuffer(ids or b"", "<u4"))) for ids in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], [id_col, "ids", "text"])
+        yield from _decoded(batches, path, id_col)
     return encoded.select(id_col, "ids").mapInArrow(run, f"`{id_col}` {encoded.schema[id_col].dataType.simpleString()}, ids binary, text string")
+
+
+def encode_and_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """``decode`` of ``encode`` in one worker per task. As two functions each task has two, and every worker comes to hold an encoder's tables."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _decoded(_encoded(batches, path, id_col), path, id_col)
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(id_col, text).mapInArrow(run, f"`{id_col}` {kind}, ids binary, text string")
