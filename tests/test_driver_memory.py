@@ -51,3 +51,10 @@ def test_the_hub_plans_its_channels_one_by_one(spark):
     plan = finance.contribution_margin(ShopTables(tuned(spark), SF))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join ") <= 15
     assert not any(sheet in plan for sheet in ("buyer_username", "username_buyer_", "seller_sku", "atome_order_id", "awb_no"))
+
+
+def test_first_of_month_rows_need_no_daily_rows(spark):
+    shop = ShopTables(tuned(spark), SF)
+    daily = payments.subscription_metrics(shop, "2001-06-30", "1995-01-01").filter(F.dayofmonth("obs_date") == 1)
+    firsts = payments.subscription_metrics(shop, "2001-06-30", "1995-01-01", step="month")
+    assert firsts.count() > 0 and firsts.exceptAll(daily).isEmpty() and daily.exceptAll(firsts).isEmpty()

@@ -107,9 +107,10 @@ def _metric_rows(days: DataFrame) -> DataFrame:
         F.when(live, F.col("mrr_usd")).otherwise(F.lit(0.0)).alias("mrr_usd"))
 
 
-def subscription_metrics(t: Tables, as_of, start=CALENDAR_START) -> DataFrame:
-    """Subscription item x day with its MRR, plus one zero day after the end (hub of the lifecycle jobs)."""
-    days = expand_intervals(subscription_intervals(t), "created_at", "ended_at", "obs_date", start, as_of, tail_days=1)
+def subscription_metrics(t: Tables, as_of, start=CALENDAR_START, step: str = "day") -> DataFrame:
+    """Subscription item x day with its MRR, plus one zero day after the end (hub of the lifecycle jobs). ``step='month'`` gives
+    its first-of-month rows alone."""
+    days = expand_intervals(subscription_intervals(t), "created_at", "ended_at", "obs_date", start, as_of, step, tail_days=1)
     return _metric_rows(days)
 
 
