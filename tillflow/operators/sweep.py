@@ -9,6 +9,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .joins import null_safe_join
 from .ranged import along, in_ranges
 
 # the last day a step that never ends is given
@@ -42,6 +43,24 @@ def levels(changes: Sequence[DataFrame], dims: Sequence[str], measures: Sequence
     return steps.filter(F.array_contains(F.array(*[F.col(m) != 0 for m in measures]), True))
 
 
+def stretches(spans: DataFrame, keys: Sequence[str], start: Column, end: Column, by: Sequence[str] = (), **aggregates: Column) -> DataFrame:
+    """(keys, by, from_day, to_day, aggregates): the spans of a key cut on every day on which one of them starts or has ended, and aggregated by
+    stretch and ``by``.
+
+    On the days of a stretch the same spans stand, so an aggregate by stretch is that of each of its days. A key's cuts are one array, at most as long as its
+    calendar; days are listed afterwards, with :func:`by_day`. Spans that end before their start or lack a bound count nowhere; null keys are values.
+    ``aggregates`` read the columns of the spans.
+    """
+    given = spans.withColumns({"_a": start, "_b": end}).filter("_a <= _b")
+    cuts = given.select(*keys, F.explode(F.array(F.col("_a"), F.date_add("_b", 1))).alias("_cut")).groupBy(*keys).agg(F.sort_array(F.collect_set("_cut")).alias("_cuts"))
+    own = F.filter("_cuts", lambda d: (d >= F.col("_a")) & (d <= F.col("_b")))
+    # a span's own cuts begin with its first day; each stands until the next one
+    pieces = null_safe_join(given, cuts, keys).withColumn("_own", own)
+    until = lambda i: F.date_sub(F.coalesce(F.get("_own", i + 1), F.date_add("_b", 1)), 1)
+    pieces = pieces.withColumn("_piece", F.explode(F.transform("_own", lambda d, i: F.struct(d.alias("a"), until(i).alias("b")))))
+    return pieces.groupBy(*keys, *by, F.col("_piece.a").alias("from_day"), F.col("_piece.b").alias("to_day")).agg(*[c.alias(name) for name, c in aggregates.items()])
+
+
 def by_day(steps: DataFrame, first, last, out: str = "day") -> DataFrame:
     """One row per day of every stretch, clipped to [first, last]."""
     a, b = F.greatest("from_day", F.lit(first).cast("date")), F.least("to_day", F.lit(last).cast("date"))
