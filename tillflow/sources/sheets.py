@@ -175,8 +175,25 @@ def split_file(system: fs.FileSystem, file: str, first_row: int, split_bytes: in
     return parts, row
 
 
-def records(data: bytes) -> Iterator[list[str]]:
-    return csv.reader(io.StringIO(data.decode("utf-8-sig"), newline=""))
+class _Stretch(io.RawIOBase):
+    """Bytes [start, end) of an open file as a stream, so that a reader holds one buffer and not the part."""
+
+    def __init__(self, file, start: int, end: int):
+        self.file, self.at, self.end = file, start, end
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        data = self.file.read_at(max(0, min(len(buffer), self.end - self.at)), self.at)
+        buffer[:len(data)] = data
+        self.at += len(data)
+        return len(data)
+
+
+def records(source: bytes | io.RawIOBase, buffer: int = 1 << 18) -> Iterator[list[str]]:
+    stream = io.BytesIO(source) if isinstance(source, bytes) else io.BufferedReader(source, buffer)
+    return csv.reader(io.TextIOWrapper(stream, "utf-8-sig", newline=""))
 
 
 class SheetReader(DataSourceReader):
@@ -205,35 +222,34 @@ class SheetReader(DataSourceReader):
 
     def read(self, part: Part) -> Iterator[tuple]:
         system, _ = _open(self.path)
-        with system.open_input_file(part.file) as file:
-            data = file.read_at(part.end - part.start, part.start)
         names, parsers = self.wanted.names, [cell_parser(f.dataType) for f in self.wanted]
         kinds = [f.dataType.simpleString() for f in self.wanted]
         left = self.cells.left
-        for row, record in enumerate(records(data), part.row):
-            if row < self.cells.top or (self.header and row == self.cells.top):
-                continue
-            if self.cells.bottom is not None and row > self.cells.bottom:
-                return
-            given = record[left:min(self.cells.right + 1, left + len(names))]
-            # short records have empty cells; an empty cell is null
-            given += [""] * (len(names) - len(given))
-            out = []
-            for i, (text, parse) in enumerate(zip(given, parsers, strict=True)):
-                if text == "":
-                    out.append(None)
+        with system.open_input_file(part.file) as file:
+            for row, record in enumerate(records(_Stretch(file, part.start, part.end)), part.row):
+                if row < self.cells.top or (self.header and row == self.cells.top):
                     continue
-                try:
-                    out.append(parse(text))
-                except (ValueError, ArithmeticError):
-                    cell = f"{column_letters(left + i)}{row}"
-                    if self.bad == "error":
-                        raise ValueError(f"cell {cell} of {part.file}: {text!r} is no {kinds[i]} ({names[i]})") from None
-                    if self.bad == "report":
-                        yield row, cell, text, kinds[i]
-                    out.append(None)
-            if self.bad != "report":
-                yield tuple(out)
+                if self.cells.bottom is not None and row > self.cells.bottom:
+                    return
+                given = record[left:min(self.cells.right + 1, left + len(names))]
+                # short records have empty cells; an empty cell is null
+                given += [""] * (len(names) - len(given))
+                out = []
+                for i, (text, parse) in enumerate(zip(given, parsers, strict=True)):
+                    if text == "":
+                        out.append(None)
+                        continue
+                    try:
+                        out.append(parse(text))
+                    except (ValueError, ArithmeticError):
+                        cell = f"{column_letters(left + i)}{row}"
+                        if self.bad == "error":
+                            raise ValueError(f"cell {cell} of {part.file}: {text!r} is no {kinds[i]} ({names[i]})") from None
+                        if self.bad == "report":
+                            yield row, cell, text, kinds[i]
+                        out.append(None)
+                if self.bad != "report":
+                    yield tuple(out)
 
 
 @dataclass
