@@ -11,17 +11,29 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..sources.writers import materialise
+from .joins import null_safe_join
+
 
 def _hash(cols: Sequence[str], seed: int) -> Column:
     # the hash leaves nulls out, so where they stand is hashed too
     return F.xxhash64(F.lit(seed), *[F.col(c) for c in cols], *[F.col(c).isNull() for c in cols])
 
 
+# a cell of the second level has about so many rows: a bucket of fewer is compared at once, as checksums of cells would be about as many as its rows
+CELL_ROWS = 4096
+
+
+def cells_of(n_rows: Column, cells: int) -> Column:
+    """How many cells a bucket of ``n_rows`` is cut into."""
+    return F.greatest(F.lit(1), F.least(F.lit(cells), F.ceil(n_rows / CELL_ROWS))).cast("int")
+
+
 def _differing(rows: DataFrame, by: Sequence[str]) -> DataFrame:
-    """The groups in which the two sides have other rows or other numbers of equal rows, by count and two sums of 64 hash bits."""
+    """The groups in which the two sides have other rows or other numbers of equal rows, by count and two sums of 64 hash bits; ``_rows`` counts both sides."""
     signed = lambda c: F.sum(F.col("_side") * F.col(c).cast("decimal(20,0)"))
-    sums = rows.groupBy(*by).agg(F.sum("_side").alias("_n"), signed("_h1").alias("_a"), signed("_h2").alias("_b"))
-    return sums.filter("_n != 0 or _a != 0 or _b != 0").select(*by)
+    sums = rows.groupBy(*by).agg(F.sum("_side").alias("_n"), signed("_h1").alias("_a"), signed("_h2").alias("_b"), F.count(F.lit(1)).alias("_rows"))
+    return sums.filter("_n != 0 or _a != 0 or _b != 0").select(*by, "_rows")
 
 
 def _within(rows: DataFrame, groups: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -31,7 +43,7 @@ def _within(rows: DataFrame, groups: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def differing_buckets(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
     """The values of ``by`` under which the two tables differ. What is shuffled is one row per task and bucket."""
-    return _differing(_both(left, right), by)
+    return _differing(_both(left, right), by).drop("_rows")
 
 
 def _both(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -44,14 +56,20 @@ def _both(left: DataFrame, right: DataFrame) -> DataFrame:
 def differing_rows(left: DataFrame, right: DataFrame, by: Sequence[str], key: Sequence[str], cells: int = 256) -> DataFrame:
     """Rows that the tables do not have equally often: their columns, ``n_left``, ``n_right`` and ``kind``.
 
-    ``by`` names the buckets of the first level, such as campaign and day; the second level cuts a differing bucket into ``cells`` by its rows' ``key``. The
-    kinds: ``left only`` and ``right only`` (the other table has no row of that key in the bucket), ``changed`` (it has one with other values), ``repeated`` (the same
+    ``by`` names the buckets of the first level, such as campaign and day; the second level cuts a differing bucket of many rows into up to ``cells`` by its rows'
+    ``key``, and smaller ones are one cell. The kinds: ``left only`` and ``right only`` (the other table has no row of that key in the bucket), ``changed`` (it has one with other values), ``repeated`` (the same
     row another number of times). Nulls are values. Doubles are compared exactly, so round them before where sources round differently. Two
     buckets with other rows look equal with a chance of 2^-128.
     """
     rows = _both(left, right)
-    rows = _within(rows, _differing(rows, by), by).withColumn("_cell", F.pmod(_hash(key, 3), F.lit(cells)).cast("int"))
-    rows = _within(rows, _differing(rows, [*by, "_cell"]), [*by, "_cell"])
+    # staged, so that the planner knows its size before the rows are moved to meet it
+    buckets = materialise(_differing(rows, by).select(*by, cells_of(F.col("_rows"), cells).alias("_cells")))
+    found = null_safe_join(rows, buckets, by, "inner")
+    if not buckets.filter("_cells > 1").isEmpty():
+        found = found.withColumn("_cell", F.pmod(_hash(key, 3), F.col("_cells")).cast("int"))
+        large = found.filter("_cells > 1")
+        found = found.filter("_cells = 1").unionByName(_within(large, _differing(large, [*by, "_cell"]), [*by, "_cell"]))
+    rows = found
     columns = left.columns
     counted = rows.groupBy(*columns).agg(F.count_if(F.col("_side") == 1).alias("n_left"), F.count_if(F.col("_side") == -1).alias("n_right"))
     unequal = counted.filter("n_left != n_right")
