@@ -5,7 +5,7 @@ Every job takes a mapping of table name to frame; relative-time jobs take an exp
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -98,8 +98,8 @@ def subscription_intervals(t: Tables, paid_only: bool = True, paid_quantity_only
                   .withColumn("mrr_usd", F.col("mrr_local") / F.col("fx_to_usd")).drop("fx_to_usd", "status"))
 
 
-def _metric_rows(days: DataFrame) -> DataFrame:
-    live = F.col("ended_at") >= F.col("obs_date")
+def _metric_rows(days: DataFrame, end: str = "ended_at") -> DataFrame:
+    live = F.col(end) >= F.col("obs_date")
     return days.select(
         "region", "subscription_id", "customer_id", "obs_date", "created_at", "ended_at", "currency", "plan_id",
         "plan_interval", "interval_count", "product_id", "product_name", "n_boxes", "condition",
@@ -107,11 +107,16 @@ def _metric_rows(days: DataFrame) -> DataFrame:
         F.when(live, F.col("mrr_usd")).otherwise(F.lit(0.0)).alias("mrr_usd"))
 
 
-def subscription_metrics(t: Tables, as_of, start=CALENDAR_START, step: str = "day") -> DataFrame:
+def subscription_metrics(t: Tables, as_of, start=CALENDAR_START, step: str = "day", show: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Subscription item x day with its MRR, plus one zero day after the end (hub of the lifecycle jobs). ``step='month'`` gives
-    its first-of-month rows alone."""
-    days = expand_intervals(subscription_intervals(t), "created_at", "ended_at", "obs_date", start, as_of, step, tail_days=1)
-    return _metric_rows(days)
+    its first-of-month rows alone. ``show`` rounds and formats the columns of the intervals, once each and not once a day."""
+    spans = subscription_intervals(t)
+    if show is None:
+        return _metric_rows(expand_intervals(spans, "created_at", "ended_at", "obs_date", start, as_of, step, tail_days=1))
+    # the dates that are counted stay beside the dates that are shown
+    spans = show(spans.withColumn("_days", F.struct("created_at", "ended_at")))
+    days = expand_intervals(spans, "_days.created_at", "_days.ended_at", "obs_date", start, as_of, step, tail_days=1)
+    return _metric_rows(days, "_days.ended_at").withColumn("obs_date", F.col("obs_date").cast("string"))
 
 
 def _month_slices(spans: DataFrame, as_of, start) -> DataFrame:
