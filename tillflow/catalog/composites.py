@@ -24,7 +24,7 @@ from ..operators.sweep import at_month_starts, by_day
 from ..operators.variants import flatten_variant
 from ..plans import finance, payments
 from ..sources.regions import region_union
-from ..sources.writers import number_batches
+from ..sources.writers import materialise, number_batches
 from .hubs import START, ladder, scalar
 from .registry import query
 from .rows import by_region
@@ -337,10 +337,12 @@ CHANNEL_LINES = ["sales_channel", "region", "purchase_type", "customer_id", "cha
 def _(s):
     boxes = finance.product_cost_per_box(s["product_cost"])
     market, cost, tax = finance.marketplace_costs(s), finance.product_cost(s, boxes), finance.tax_rate_history(s)
+    # channels of large tables are staged one by one, so that the shuffle files of one at a time are on disk
+    part = (lambda df: df) if finance.line_slices(s) == 1 else lambda df: materialise(df.select(*CHANNEL_LINES))
     rows = finance.normalize_sales([
-        finance.stripe_sales(s, cost), finance.tiktok_sales(s, market["tiktok"]), finance.lazada_sales(s, market["lazada"]),
-        finance.shopee_sales(s, market["shopee"]), finance.cod_sales(s, boxes, finance.cod_sg_orders(s), "sg"),
-        finance.cod_sales(s, boxes, finance.cod_hk_orders(s), "hk"), finance.atome_sales(s, tax, cost)])
+        finance.stripe_sales(s, cost, columns=CHANNEL_LINES), part(finance.tiktok_sales(s, market["tiktok"])), part(finance.lazada_sales(s, market["lazada"])),
+        part(finance.shopee_sales(s, market["shopee"])), part(finance.cod_sales(s, boxes, finance.cod_sg_orders(s), "sg")),
+        part(finance.cod_sales(s, boxes, finance.cod_hk_orders(s), "hk")), part(finance.atome_sales(s, tax, cost))])
     return rows.select(*CHANNEL_LINES)
 
 
