@@ -338,7 +338,8 @@ def _(s):
     boxes = finance.product_cost_per_box(s["product_cost"])
     market, cost, tax = finance.marketplace_costs(s), finance.product_cost(s, boxes), finance.tax_rate_history(s)
     # channels of large tables are staged one by one, so that the shuffle files of one at a time are on disk
-    part = (lambda df: df) if finance.line_slices(s) == 1 else lambda df: materialise(df.select(*CHANNEL_LINES))
+    large = finance.line_slices(s) > 1
+    part = lambda df: materialise(df.select(*CHANNEL_LINES)) if large else df.select(*CHANNEL_LINES)
     rows = finance.normalize_sales([
         finance.stripe_sales(s, cost, columns=CHANNEL_LINES), part(finance.tiktok_sales(s, market["tiktok"])), part(finance.lazada_sales(s, market["lazada"])),
         part(finance.shopee_sales(s, market["shopee"])), part(finance.cod_sales(s, boxes, finance.cod_sg_orders(s), "sg")),
